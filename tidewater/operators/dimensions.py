@@ -44,8 +44,9 @@ def date_dimension(
     spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END
 ) -> DataFrame:
     """The calendar between two dates, both included; empty when they are reversed."""
-    bounds = spark.range(1).select(F.lit(start).alias("first_day"), F.lit(end).alias("last_day"))
-    return calendar_rows(bounds.filter("first_day <= last_day"))
+    last = F.lit(max(start, end)).alias("last_day")
+    bounds = spark.range(1 if start <= end else 0).select(F.lit(start).alias("first_day"), last)
+    return calendar_rows(bounds)
 
 
 def add_absent(existing: DataFrame, candidates: DataFrame, key: str) -> DataFrame:

@@ -7,42 +7,46 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.calendar import date_key, month_start
 
+SOURCE = "finance_json"
+
+
+def finance_cells(accepted: DataFrame) -> DataFrame:
+    """Budget and actual sums per month, business unit and cost centre."""
+    amount = F.col("amount").cast("decimal(18,2)")
+    return accepted.groupBy("month", "business_unit", "cost_center").agg(
+        F.sum(F.when(F.col("record_type") == "budget", amount)).alias("budget_amount"),
+        F.sum(F.when(F.col("record_type") == "actual", amount)).alias("actual_amount"),
+    )
+
 
 def finance_fact(
-    accepted: DataFrame,
+    cells: DataFrame,
     dim_region: DataFrame,
     dim_cost_center: DataFrame,
     dim_source: DataFrame,
     unit_regions: DataFrame,
 ) -> DataFrame:
-    """Budget, actual and variance (actual minus budget) per month, unit and cost centre.
+    """The cells with their dimension keys and the variance, actual minus budget.
 
     ``unit_regions`` maps each business unit to a region name. A unit or cost centre that is not
-    mapped drops out, as in the operations load. The finance feed has no revenue or cost of
-    goods, so those measures are not set. Rows are summed before the lookups, so only one row
-    per cell is joined.
+    mapped drops out, as in the operations load, and so does all when the source is unknown. The
+    finance feed has no revenue or cost of goods, so those measures are not set.
     """
-    amount = F.col("amount").cast("decimal(18,2)")
-    cells = accepted.groupBy("month", "business_unit", "cost_center").agg(
-        F.sum(F.when(F.col("record_type") == "budget", amount)).alias("budget_amount"),
-        F.sum(F.when(F.col("record_type") == "actual", amount)).alias("actual_amount"),
-    )
     regions = unit_regions.join(dim_region, unit_regions["region"] == dim_region["region_name"])
-    source = dim_source.filter(F.col("source_name") == "finance_json")
     centers = dim_cost_center.select("cost_center_key", F.col("cost_center_name").alias("cost_center"))
+    source = dim_source.filter(F.col("source_name") == SOURCE).select("source_key").scalar()
     return (
-        cells.withColumn("record_source", F.lit("finance_json"))
-        .join(regions.select("business_unit", "region_key"), "business_unit")
+        cells.join(regions.select("business_unit", "region_key"), "business_unit")
         .join(centers, "cost_center")
-        .join(source.select("source_key", F.col("source_name").alias("record_source")), "record_source")
         .select(
             date_key(month_start(F.col("month"))).alias("date_key"),
             "region_key",
             "cost_center_key",
-            "source_key",
+            source.alias("source_key"),
             "budget_amount",
             "actual_amount",
             (F.col("actual_amount") - F.col("budget_amount")).alias("variance_amount"),
-            "record_source",
+            F.lit(SOURCE).alias("record_source"),
         )
+        .filter("source_key IS NOT NULL")
     )

@@ -21,6 +21,8 @@ UPDATED = (
     "cost_per_unit",
     "total_cost",
 )
+# Distinct target keys up to which a join side is broadcast: one row per key, well below 100 MB.
+BROADCAST_KEYS = 200_000
 REPEATED_KEY = "Upsert source repeats a key that the target holds"
 
 # A fact key is made of the run day, a row number and the task that numbered it.
@@ -30,7 +32,12 @@ DAY_SHIFT = 48
 OFFSET_BITS = 33  # width of the row counter inside monotonically_increasing_id
 
 
-def merge(target: DataFrame, source: DataFrame, key: tuple[str, ...] = MERGE_KEY) -> DataFrame:
+def merge(
+    target: DataFrame,
+    source: DataFrame,
+    key: tuple[str, ...] = MERGE_KEY,
+    broadcast_keys: int = BROADCAST_KEYS,
+) -> DataFrame:
     """All rows of ``target`` after the upsert, plus ``action``: insert, update or keep.
 
     A source row whose key the target holds updates every target row of that key; all others
@@ -39,12 +46,16 @@ def merge(target: DataFrame, source: DataFrame, key: tuple[str, ...] = MERGE_KEY
 
     The target's keys are reduced to distinct ones before they meet the source, and the source's
     matching rows to one per key before they meet the target. So each join has a side without
-    repeats: Spark broadcasts it when small, and else splits a hot key of the other side at run
-    time, which it cannot do in a full outer join.
+    repeats and with no more rows than the target has keys. The keys are counted first: up to
+    ``broadcast_keys`` of them that side is broadcast and neither table is shuffled. Beyond, the
+    joins shuffle, and Spark splits a hot key of the other side at run time, which it cannot do
+    in a full outer join.
     """
     source = source.select(*[c for c in target.columns if c in source.columns])
     updated = [c for c in UPDATED if c in source.columns]
     held = target.select(*key).dropna().distinct()
+    small = held.count() <= broadcast_keys
+    held = F.broadcast(held) if small else held
     inserts = source.join(held, list(key), "left_anti").withColumn("action", F.lit("insert"))
 
     message = F.concat(F.lit(REPEATED_KEY + ": "), F.to_json(F.struct(*key)))
@@ -54,6 +65,7 @@ def merge(target: DataFrame, source: DataFrame, key: tuple[str, ...] = MERGE_KEY
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(f"_new_{c}") for c in updated])
         .filter(F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
     )
+    hits = F.broadcast(hits) if small else hits
     hit = F.col("_copies").isNotNull()
     merged = target.join(hits, list(key), "left").select(
         *[

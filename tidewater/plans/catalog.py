@@ -13,7 +13,8 @@ from tidewater.functions.text import markers_to_null
 from tidewater.operators import audit, constraints, dimensions, finance, measures, quality, upsert
 from tidewater.operators.rules import RULES, RuleSet
 from tidewater.plans import derived as d
-from tidewater.schemas import STAGING_OPERATIONS, text_limits
+from tidewater.schemas import STAGING_OPERATIONS, conform, text_limits
+from tidewater.sources.checkpoint import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,15 +154,15 @@ def audit_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def finance_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Business units are region names here, so each unit maps to its own region."""
     dims = d.dimension_tables(spark, sf_dir)
-    accepted = d.accepted_finance(spark, sf_dir)
-    none = spark.createDataFrame([], "cost_center_key int, cost_center_name string")
-    names = accepted.select(F.col("cost_center").alias("cost_center_name"))
+    cells = settled(finance.finance_cells(d.accepted_finance(spark, sf_dir)))
+    none = conform(spark.range(0), {"cost_center_key": "int", "cost_center_name": "string"})
+    names = cells.select(F.col("cost_center").alias("cost_center_name"))
     centers = dimensions.seed_members(none, names, "cost_center_name", "cost_center_key")
     units = d.table(spark, sf_dir, "region").select(
         F.col("r_name").alias("business_unit"), F.col("r_name").alias("region")
     )
     return _plain(
-        finance.finance_fact(accepted, dims["dim_region"], centers, dims["dim_source"], units)
+        finance.finance_fact(cells, dims["dim_region"], centers, dims["dim_source"], units)
     )
 
 

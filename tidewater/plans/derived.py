@@ -74,6 +74,11 @@ WAREHOUSE_TEXT_COLUMNS = (
     " ELSE CAST(CAST(l_quantity AS INT) * 9 AS STRING) END AS units_processed",
 )
 
+RECORD_SOURCE = (
+    "CASE WHEN units_processed % 99 = 0 THEN 'api' WHEN units_processed % 207 = 0 THEN 'upload'"
+    " ELSE 'warehouse_csv' END"
+)
+
 FINANCE_COLUMNS = (
     "CASE WHEN o_orderkey % 97 <> 0 THEN concat('FIN-', o_orderkey) END AS record_id",
     "concat('2024-0', 1 + o_orderkey % 6) AS month",
@@ -154,7 +159,12 @@ def accepted_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_operations(accepted_warehouse(spark, sf_dir))
+    return _staged(accepted_warehouse(spark, sf_dir))
+
+
+def _staged(accepted: DataFrame) -> DataFrame:
+    """Staging rows as if some had come by other ways, one of them unknown to the dimension."""
+    return stage_operations(accepted.withColumn("record_source", F.expr(RECORD_SOURCE)))
 
 
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,10 +194,11 @@ def sales_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimension_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    shifts = spark.createDataFrame([(1, "Day"), (2, "Night")], "shift_key int, shift_name string")
-    sources = spark.createDataFrame(
-        [(1, "warehouse_csv"), (2, "finance_json"), (3, "api")],
-        "source_key int, source_name string",
+    # Literal rows, so that Spark knows how small they are.
+    shifts = spark.sql("SELECT * FROM VALUES (1, 'Day'), (2, 'Night') t(shift_key, shift_name)")
+    sources = spark.sql(
+        "SELECT * FROM VALUES (1, 'warehouse_csv'), (2, 'finance_json'), (3, 'api')"
+        " t(source_key, source_name)"
     )
     return {
         "dim_date": order_calendar(spark, sf_dir),
@@ -208,7 +219,7 @@ def operations_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.passed(checked_warehouse(spark, sf_dir))
     key = ("order_date", "region", "shift")
     order = [F.asc_nulls_last(c) for c in rows.columns if c not in key]
-    staged = stage_operations(enrich_warehouse(keep_one(rows, key, order)))
+    staged = _staged(enrich_warehouse(keep_one(rows, key, order)))
     resolved = resolve_operations(staged, dimension_tables(spark, sf_dir), RUN_DATE)
     return settled(resolved.drop("order_id"))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +22,8 @@ from tidewater.schemas import (
     Table,
     conform,
 )
-from tidewater.sources.tables import read_table, replace_run, replace_table
+from tidewater.sources.checkpoint import settled
+from tidewater.sources.tables import read_table, replace_run, replace_table, write_staging
 
 DIMENSIONS: dict[str, Table] = {
     "dim_date": DIM_DATE,
@@ -32,6 +32,7 @@ DIMENSIONS: dict[str, Table] = {
     "dim_cost_center": DIM_COST_CENTER,
     "dim_source": DIM_SOURCE,
 }
+STAGED: Table = {**STAGING_OPERATIONS, "total_cost": "decimal(12,2)"}
 # Dimension, its name column and key, and the staging column that brings new names.
 SEEDED = (
     ("dim_region", "region_name", "region_key", "region"),
@@ -76,26 +77,34 @@ def populate_dim_date(
     return held.agg(F.count(F.lit(1)).alias("dates_populated"))
 
 
-def seed_dimensions(spark: SparkSession, staging: DataFrame, root: str) -> None:
+def seed_dimensions(spark: SparkSession, staging_path: str, root: str) -> None:
     """Add regions, shifts and sources that staging names and the dimensions lack."""
+    columns = [column for *_, column in SEEDED]
+    # Few combinations, found in one pass over three columns.
+    combos = settled(read_table(spark, staging_path, STAGED).select(*columns).distinct())
     for dim, name, key, column in SEEDED:
         table = DIMENSIONS[dim]
-        names = staging.select(F.col(column).alias(name))
+        names = combos.select(F.col(column).alias(name))
         existing = read_table(spark, f"{root}/{dim}", table)
         seeded = dimensions.seed_members(existing, names, name, key)
         _rewrite(spark, seeded, root, dim, table)
 
 
+def write_operations_staging(accepted: DataFrame, path: str) -> None:
+    """Keep the day's typed staging rows, which the load then reads more than once."""
+    write_staging(stage_operations(accepted), path)
+
+
 def load_operations(
     spark: SparkSession,
-    staging: DataFrame,
+    staging_path: str,
     root: str,
     run_ts: datetime,
     run_date: date | None = None,
     repeats: str = "fail",
     ignore_case: bool = False,
 ) -> DataFrame:
-    """Upsert staging into ``fact_operations`` for one run date; returns ``records_loaded``.
+    """Upsert a staging table into ``fact_operations`` for one run date; returns the row count.
 
     Only the run date's partition is read and replaced. ``repeats`` says what to do when staging
     repeats a key that the table holds: ``fail`` (nothing is written), or ``latest``, which
@@ -106,6 +115,7 @@ def load_operations(
     path = f"{root}/fact_operations"
     target = read_table(spark, path, FACT_OPERATIONS)
     target = target.filter(F.col("pipeline_run_date") == F.lit(run_date))
+    staging = read_table(spark, staging_path, STAGED)
 
     dims = read_dimensions(spark, root)
     source = dimensions.resolve_operations(staging, dims, run_date, ignore_case)
@@ -121,7 +131,8 @@ def load_operations(
     )
     try:
         replace_run(counted, path, FACT_OPERATIONS)
-    except PySparkException as e:
+    except Exception as e:
+        # A task's error reaches the driver as whatever wraps it, so it is known by its text.
         if upsert.REPEATED_KEY in str(e):
             raise RepeatedKeyError(f"{upsert.REPEATED_KEY}, run date {run_date}") from e
         raise
@@ -151,14 +162,16 @@ def load_finance(
 ) -> None:
     """Replace one run date's finance facts; new cost centres are added to their dimension."""
     run_date = run_date or run_ts.date()
-    names = accepted.select(F.col("cost_center").alias("cost_center_name"))
+    # One row per cell from here on, so the feed is read once.
+    cells = settled(finance.finance_cells(accepted))
+    names = cells.select(F.col("cost_center").alias("cost_center_name"))
     dim = read_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER)
     seeded = dimensions.seed_members(dim, names, "cost_center_name", "cost_center_key")
     _rewrite(spark, seeded, root, "dim_cost_center", DIM_COST_CENTER)
 
     dims = read_dimensions(spark, root)
     rows = finance.finance_fact(
-        accepted, dims["dim_region"], dims["dim_cost_center"], dims["dim_source"], unit_regions
+        cells, dims["dim_region"], dims["dim_cost_center"], dims["dim_source"], unit_regions
     )
     rows = rows.withColumns(
         {

@@ -76,7 +76,9 @@ FROM wh_ok""",
         """
 SELECT order_id, order_date, region, shift, throughput_uph,
        floor(dock_delay_hrs * 100 + 0.5) / 100 AS dock_delay_hrs,
-       defect_rate_pct, inventory_accuracy_pct, sla_hours, sla_met, units_processed, cost_per_unit, record_source, total_cost
+       defect_rate_pct, inventory_accuracy_pct, sla_hours, sla_met, units_processed, cost_per_unit,
+       CASE WHEN units_processed % 99 = 0 THEN 'api' WHEN units_processed % 207 = 0 THEN 'upload' ELSE 'warehouse_csv' END AS record_source,
+       total_cost
 FROM wh_rich""",
     ),
     "fin_raw": (
@@ -137,7 +139,7 @@ SELECT 1 AS shift_key, 'Day' AS shift_name UNION ALL SELECT 2, 'Night'""",
 SELECT 1 AS source_key, 'warehouse_csv' AS source_name UNION ALL SELECT 2, 'finance_json' UNION ALL SELECT 3, 'api'""",
     ),
     "dim_days": (
-        ("wh_raw",),
+        (),
         """
 SELECT CAST(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) AS INT) AS date_key, order_date AS full_date
 FROM (SELECT DISTINCT DATE '2024-01-01' + CAST(l_orderkey % 182 AS INT) AS order_date FROM lineitem)""",
@@ -154,16 +156,26 @@ JOIN dim_shift ON shift_name = shift
 JOIN dim_source ON source_name = record_source""",
     ),
     # One accepted row per merge key; the order is total, so equal order ids cannot swap.
-    "src_ops": (
-        ("resolved",),
+    "stg_ops": (
+        ("stg",),
         """
-SELECT date_key, region_key, shift_key, source_key, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct,
-       sla_hours, sla_met, units_processed, cost_per_unit, record_source, total_cost, pipeline_run_date
-FROM (SELECT r.*, row_number() OVER (PARTITION BY date_key, region_key, shift_key
+SELECT * EXCLUDE (rn)
+FROM (SELECT s.*, row_number() OVER (PARTITION BY order_date, region, shift
         ORDER BY order_id NULLS LAST, throughput_uph NULLS LAST, dock_delay_hrs NULLS LAST, defect_rate_pct NULLS LAST,
           inventory_accuracy_pct NULLS LAST, sla_hours NULLS LAST, units_processed NULLS LAST, cost_per_unit NULLS LAST) AS rn
-      FROM resolved r)
+      FROM stg s)
 WHERE rn = 1""",
+    ),
+    "src_ops": (
+        ("stg_ops", "dim_days", "dim_region", "dim_shift", "dim_source"),
+        """
+SELECT date_key, region_key, shift_key, source_key, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct,
+       sla_hours, sla_met, units_processed, cost_per_unit, record_source, total_cost, DATE '2024-07-01' AS pipeline_run_date
+FROM stg_ops
+JOIN dim_days ON full_date = order_date
+JOIN dim_region ON region_name = region
+JOIN dim_shift ON shift_name = shift
+JOIN dim_source ON source_name = record_source""",
     ),
     "tgt_ops": (
         ("src_ops",),

@@ -64,7 +64,7 @@ def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ddl(table))
+        return conform(spark.range(0), table)
 
 
 def replace_table(df: DataFrame, path: str, table: Table) -> None:
