@@ -27,8 +27,8 @@ def number(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
         value = c.try_cast("double")
-        plain = c.rlike(PLAIN_NUMBER) & (F.abs(value) <= LARGEST_DOUBLE)
-        return F.when(plain | c.rlike(INFINITE_WORD), value)
+        fits = F.abs(value) <= LARGEST_DOUBLE
+        return F.when(c.rlike(PLAIN_NUMBER), F.when(fits, value)).when(c.rlike(INFINITE_WORD), value)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.nanvl(c, F.lit(None).cast(kind))
     if isinstance(kind, T.BooleanType):

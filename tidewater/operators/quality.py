@@ -30,30 +30,48 @@ def _is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
-def failed_rules(df: DataFrame, rules: RuleSet) -> list[tuple[str, Column]]:
-    """Reason text and never-null failure flag per rule; rules on absent columns are left out."""
+def failed_rules(df: DataFrame, rules: RuleSet, parsed: dict[str, Column]) -> list[tuple[str, Column]]:
+    """Reason text and never-null failure flag per rule; ``parsed`` holds the columns as numbers.
+
+    Rules on columns that the feed lacks are left out.
+    """
     present = set(df.columns)
     found = [(f"null:{c}", _is_missing(df, c)) for c in rules.non_null if c in present]
     found += [
-        (f"non_positive:{c}", F.coalesce(number(df, c), F.lit(-1)) <= 0)
+        (f"non_positive:{c}", F.coalesce(parsed[c], F.lit(-1)) <= 0)
         for c in rules.positive
         if c in present
     ]
     for c, (low, high) in rules.ranges.items():
         if c in present:
-            outside = (number(df, c) < low) | (number(df, c) > high)
+            outside = (parsed[c] < low) | (parsed[c] > high)
             found.append((f"out_of_range:{c}", F.coalesce(outside, F.lit(False))))
     return found
 
 
 def check(df: DataFrame, rules: RuleSet, require: bool = True) -> DataFrame:
-    """Add ``rejected`` and ``rejection_reason`` (all failed rules in order, blank-separated)."""
+    """Add ``rejected`` and ``rejection_reason`` (all failed rules in order, blank-separated).
+
+    Numbers and flags are columns of their own on the way, so that each is computed once per row
+    however often it is used. Keep both halves with ``sources.tables.write_checked`` and split
+    what it wrote: a filter on a frame that is not written is pushed below those columns, and
+    then repeats the parsing of text.
+    """
     if require:
         require_columns(df, rules)
-    failed = failed_rules(df, rules)
-    rejected = reduce(Column.__or__, [flag for _, flag in failed], F.lit(False))
-    reason = F.concat_ws(" ", *[F.when(flag, F.lit(text)) for text, flag in failed])
-    return df.select("*", rejected.alias("rejected"), reason.alias("rejection_reason"))
+    numeric = [c for c in dict.fromkeys((*rules.positive, *rules.ranges)) if c in df.columns]
+    parsed = {c: f"_number_{i}" for i, c in enumerate(numeric)}
+    numbered = df.select("*", *[number(df, c).alias(alias) for c, alias in parsed.items()])
+    failed = failed_rules(df, rules, {c: F.col(alias) for c, alias in parsed.items()})
+    flags = [F.col(f"_failed_{i}") for i in range(len(failed))]
+    own = [column(c) for c in df.columns]
+    flagged = numbered.select(*own, *[f.alias(f"_failed_{i}") for i, (_, f) in enumerate(failed)])
+    reasons = [F.when(flag, F.lit(text)) for flag, (text, _) in zip(flags, failed, strict=True)]
+    return flagged.select(
+        *own,
+        reduce(Column.__or__, flags, F.lit(False)).alias("rejected"),
+        F.concat_ws(" ", *reasons).alias("rejection_reason"),
+    )
 
 
 def passed(checked: DataFrame) -> DataFrame:

@@ -330,6 +330,7 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
     "qc_text_feed": (
         ("wh_text",),
         """SELECT order_id, order_date, region, throughput_uph, defect_rate_pct, units_processed,
+       f1 OR f3 OR f4 OR f5 OR f6 AS rejected,
        concat_ws(' ', CASE WHEN f1 THEN 'null:order_id' END, CASE WHEN f3 THEN 'null:region' END, CASE WHEN f4 THEN 'non_positive:throughput_uph' END,
          CASE WHEN f5 THEN 'non_positive:units_processed' END, CASE WHEN f6 THEN 'out_of_range:defect_rate_pct' END) AS rejection_reason
 FROM (SELECT *, order_id IS NULL AS f1, region IS NULL AS f3,
@@ -337,8 +338,7 @@ FROM (SELECT *, order_id IS NULL AS f1, region IS NULL AS f3,
              coalesce(TRY_CAST(trim(units_processed) AS DOUBLE), -1) <= 0 AS f5,
              CASE WHEN defect_rate_pct = '1e400' THEN FALSE
                   ELSE coalesce(TRY_CAST(defect_rate_pct AS DOUBLE) < 0 OR TRY_CAST(defect_rate_pct AS DOUBLE) > 100, FALSE) END AS f6
-      FROM wh_text)
-WHERE f1 OR f3 OR f4 OR f5 OR f6""",
+      FROM wh_text)""",
     ),
     "audit_varchar": (
         ("wh_rich",),
