@@ -69,7 +69,8 @@ def test_daily_run(spark, tmp_path):
     assert (wh.records_in, wh.records_out, wh.records_rejected) == (5, 4, 1)
     assert float(wh.rejection_rate_pct) == 20.0 and wh.duration_sec > 0
     assert wh.run_date == RUN_TS.date() and wh.status == "SUCCESS"
-    assert list((tmp_path / "logs" / "pipeline_run_log_20240701.csv").glob("*.csv"))
+    (saved,) = (tmp_path / "logs" / "pipeline_run_log_20240701.csv").glob("*.csv")
+    assert saved.read_text().startswith("run_date,run_timestamp,step,status,records_in,")
 
     # A rerun of the day without bad rows leaves no rejects of the first run.
     _, checked = daily.run_daily(spark, write_feeds(tmp_path, bad=False), LATER)
@@ -134,7 +135,7 @@ def test_load(spark, tmp_path):
     assert facts(spark, root).select("fact_key").distinct().count() == 8
     assert load.populate_dim_date(spark, root, *DAYS).first().dates_populated == 31
     audit = read_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG)
-    loads = audit.filter("pipeline_step = 'load_operations'")
+    loads = audit.filter("pipeline_step = 'usp_load_fact_operations'")
     assert loads.count() == 3
     assert loads.filter("records_in IS NULL AND duration_sec IS NULL AND records_out = 4").count() == 3
 

@@ -59,6 +59,13 @@ def test_csv_with_line_breaks(spark, tmp_path):
     assert [r.a for r in read_csv(spark, path, multiline=True).collect()] == ["one\ntwo", "three"]
 
 
+def test_strict_csv_fails_on_uneven_rows(spark, tmp_path):
+    path = put(tmp_path / "u.csv", "a,b", "1,2", "3,4,5", "6")
+    assert [tuple(r) for r in read_csv(spark, path).collect()] == [("1", "2"), ("3", "4"), ("6", None)]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, path, strict=True).collect()
+
+
 def test_files_with_another_header_fail(spark, tmp_path):
     put(tmp_path / "d" / "a.csv", "a,b", "1,2")
     put(tmp_path / "d" / "b.csv", "b,a", "1,2")

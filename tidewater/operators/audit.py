@@ -70,6 +70,21 @@ def log_frame(spark: SparkSession, entries: Sequence[LogEntry]) -> DataFrame:
     )
 
 
+def run_log(log: DataFrame) -> DataFrame:
+    """Log entries in the shape of the dated run log file."""
+    return log.selectExpr(
+        "run_date",
+        "run_timestamp",
+        "pipeline_step AS step",
+        "status",
+        "records_in",
+        "records_out",
+        "records_rejected",
+        "duration_sec",
+        "error_message AS error",
+    )
+
+
 def append_log(spark: SparkSession, entries: Sequence[LogEntry], path: str) -> None:
     """Append log entries to the audit table, numbered on from its highest id."""
     highest = read_table(spark, path, AUDIT_LOG).agg(F.max("log_id")).first()[0] or 0

@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.operators import quality
-from tidewater.operators.audit import LogEntry, append_log, log_frame, run_summary
+from tidewater.operators.audit import LogEntry, append_log, log_frame, run_log, run_summary
 from tidewater.operators.enrich import EnrichConfig, enrich_finance, enrich_warehouse
 from tidewater.operators.rules import rules_for
 from tidewater.schemas import FINANCE_FEED, WAREHOUSE_FEED
@@ -46,13 +46,6 @@ def accepted_finance(checked: DataFrame, run_ts: datetime | None = None) -> Data
     return enrich_finance(typed(quality.passed(checked), FINANCE_FEED), run_ts)
 
 
-def read_run(
-    spark: SparkSession, paths: DailyPaths, source: str, run_date: date, schema
-) -> DataFrame:
-    """Checked rows that a run left behind for one source."""
-    return read_checked(spark, checked_dir(paths.staging, source, run_date), schema)
-
-
 def run_daily(
     spark: SparkSession,
     paths: DailyPaths,
@@ -132,5 +125,5 @@ def run_daily(
         append_log(spark, entries, paths.audit)
         log = log_frame(spark, entries)
         if paths.run_logs:
-            export_csv(log, f"{paths.run_logs}/pipeline_run_log_{run_date:%Y%m%d}.csv")
+            export_csv(run_log(log), f"{paths.run_logs}/pipeline_run_log_{run_date:%Y%m%d}.csv")
     return run_summary(log), checked

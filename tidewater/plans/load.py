@@ -41,6 +41,10 @@ SEEDED = (
 )
 
 
+# Fixed value: the step name that audit reports know the operations load by.
+LOAD_STEP = "usp_load_fact_operations"
+
+
 class RepeatedKeyError(RuntimeError):
     """The staging rows repeat a merge key that the fact table already holds."""
 
@@ -138,7 +142,11 @@ def load_operations(
         raise
     loaded = seen.get["records_loaded"]
     entry = LogEntry(
-        run_date, run_ts, "load_operations", "SUCCESS", records_out=loaded,
+        run_date,
+        run_ts,
+        LOAD_STEP,
+        "SUCCESS",
+        records_out=loaded,
         source_system="warehouse_csv",
     )
     append_log(spark, [entry], f"{root}/pipeline_audit_log")

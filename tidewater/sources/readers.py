@@ -29,9 +29,10 @@ def csv_header(spark: SparkSession, path: Paths, multiline: bool = False) -> T.S
     return spark.read.options(header=True, escape='"', multiLine=multiline).csv(path).schema
 
 
-def _csv_text(spark: SparkSession, path: Paths, multiline: bool) -> DataFrame:
+def _csv_text(spark: SparkSession, path: Paths, multiline: bool, strict: bool) -> DataFrame:
     header = csv_header(spark, path, multiline)
     options = {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
+    options["mode"] = "FAILFAST" if strict else "PERMISSIVE"
     return spark.read.options(**options).schema(header).csv(path)
 
 
@@ -41,15 +42,18 @@ def _json_text(spark: SparkSession, path: Paths, table: Table, array: bool) -> D
     return spark.read.options(**options).schema(T.StructType(fields)).json(path)
 
 
-def read_csv(spark: SparkSession, path: Paths, multiline: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: Paths, multiline: bool = False, strict: bool = False
+) -> DataFrame:
     """A CSV feed as text columns named by its header, missing-value markers as null.
 
     Only the header line is read here: no type inference, so no extra pass and no column that
     changes type because of one odd value. Every further file must carry the same header; one
     that does not fails the read instead of shifting its columns. Keep ``multiline`` off unless
-    quoted values hold line breaks, since it makes files unsplittable.
+    quoted values hold line breaks, since it makes files unsplittable. A row shorter than the
+    header ends in nulls and a longer one loses what is beyond it; ``strict`` fails on both.
     """
-    return markers_to_null(_csv_text(spark, path, multiline))
+    return markers_to_null(_csv_text(spark, path, multiline, strict))
 
 
 def read_json(spark: SparkSession, path: Paths, table: Table, array: bool = False) -> DataFrame:
@@ -74,10 +78,15 @@ def with_landing_date(df: DataFrame) -> DataFrame:
 
 
 def read_landing_csv(
-    spark: SparkSession, root: str, source: str, days: Iterable[date], multiline: bool = False
+    spark: SparkSession,
+    root: str,
+    source: str,
+    days: Iterable[date],
+    multiline: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """CSV feed of the given landing days; other days are never listed."""
-    text = _csv_text(spark, landing_paths(root, source, days), multiline)
+    text = _csv_text(spark, landing_paths(root, source, days), multiline, strict)
     return markers_to_null(with_landing_date(text))
 
 

@@ -20,9 +20,20 @@ FORMATS = ("csv", "json")
 
 
 def landing_stream(
-    spark: SparkSession, root: str, source: str, table: Table, file_format: str = "csv"
+    spark: SparkSession,
+    root: str,
+    source: str,
+    table: Table,
+    file_format: str = "csv",
+    files_per_batch: int = 10_000,
+    remember: str = "365d",
 ) -> DataFrame:
-    """All files below ``root/<source>/YYYY/MM/DD`` as a stream of text rows with their day."""
+    """All files below ``root/<source>/YYYY/MM/DD`` as a stream of text rows with their day.
+
+    A run takes all new files, in batches of ``files_per_batch``, so that a failure repeats one
+    batch and not the whole backlog. Files that are older than the newest one by more than
+    ``remember`` are not looked at; Spark's default of a week would skip late copies.
+    """
     if file_format not in FORMATS:
         raise ValueError(f"file_format must be one of {FORMATS}, not {file_format!r}")
     names = [*table, UNREADABLE] if file_format == "json" else list(table)
@@ -31,6 +42,7 @@ def landing_stream(
         options = {"header": True, "escape": '"', "enforceSchema": False}
     else:
         options = {"columnNameOfCorruptRecord": UNREADABLE}
+    options |= {"maxFilesPerTrigger": files_per_batch, "maxFileAge": remember}
     reader = spark.readStream.format(file_format).schema(schema).options(**options)
     return markers_to_null(with_landing_date(reader.load(f"{root}/{source}/*/*/*")))
 
