@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,21 +109,67 @@ def test_repeated_source_key(spark):
 
 
 def test_hot_key(spark):
-    """A third of the target and of the inserts on one key, without broadcasts."""
+    """A third of the target and of the inserts on one key, broadcast and shuffled."""
     target = [(1, 1, 1, 1, 5.0, DAY, "s")] * 3000 + [(i, 2, 1, 1, 5.0, DAY, "s") for i in range(3000)]
     source = [(1, 1, 1, 2, 9.0, DAY, "s")] + [(7, 7, 7, 1, 1.0, DAY, "s")] * 3000
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        merged = upsert.merge(frame(spark, target), frame(spark, source), broadcast_keys=0)
-        assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
-        assert result(merged) == brute_force(target, source)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    expected = brute_force(target, source)
     merged = upsert.merge(frame(spark, target), frame(spark, source))
     assert "SortMergeJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert result(merged) == expected
     counts = {r.action: r.records for r in upsert.action_counts(merged).collect()}
     assert counts == {"update": 3000, "keep": 3000, "insert": 3000}
+    with no_broadcast(spark):
+        merged = upsert.merge(frame(spark, target), frame(spark, source), broadcast_keys=0)
+        assert result(merged) == expected
+
+
+@contextmanager
+def no_broadcast(spark):
+    """Shuffled joins only, with partitions of 100 KB counting as skewed."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def skewed_rows(spark, n, hot, others):
+    """A third of the rows on the key ``hot``; values that do not compress."""
+    return spark.range(0, n, 1, 8).selectExpr(
+        f"CAST(CASE WHEN id % 3 = 0 THEN {hot} ELSE {others} + id % 1000 END AS int) AS date_key",
+        "1 AS region_key", "1 AS shift_key", "1 AS source_key",
+        "CAST(id % 100 AS decimal(8,2)) AS throughput_uph",
+        "CAST(rand(1) * 1000 AS decimal(12,2)) AS total_cost",
+        "DATE '2024-07-01' AS pipeline_run_date", "CAST(rand(2) AS string) AS record_source",
+    )
+
+
+def test_hot_key_is_split_when_shuffled(spark):
+    with no_broadcast(spark):
+        target = skewed_rows(spark, 120_000, 5, 2_000_000)
+        source = skewed_rows(spark, 120_000, 7, 10_000)
+        source = source.unionByName(skewed_rows(spark, 1, 5, 0))
+        merged = upsert.merge(target, source, broadcast_keys=0)
+        # A checksum over all columns, so that none is pruned.
+        sums = merged.groupBy("action").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64(*merged.columns).cast("decimal(38,0)")).alias("checksum"),
+        )
+        assert {r.action: r.n for r in sums.collect()} == {
+            "update": 40_000, "keep": 80_000, "insert": 120_000,
+        }
+        final = sums._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        joins = [line for line in final.splitlines() if "SortMergeJoin" in line]
+        assert any("skew=true" in j and "LeftOuter" in j for j in joins), joins
+        assert any("skew=true" in j and "LeftAnti" in j for j in joins), joins
 
 
 def test_keep_one(spark):

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidewater.sources.checkpoint import settled
+
 MERGE_KEY = ("date_key", "region_key", "shift_key", "pipeline_run_date")
 # Measures that an update overwrites; keys and lineage of the old row stay.
 UPDATED = (
@@ -48,14 +50,15 @@ def merge(
     matching rows to one per key before they meet the target. So each join has a side without
     repeats and with no more rows than the target has keys. The keys are counted first: up to
     ``broadcast_keys`` of them that side is broadcast and neither table is shuffled. Beyond, the
-    joins shuffle, and Spark splits a hot key of the other side at run time, which it cannot do
-    in a full outer join.
+    reduced side is kept and the joins shuffle; Spark then splits a hot key of the other side at
+    run time. It could not do so in a full outer join, nor if the reduced side were still being
+    aggregated in the join's own stage.
     """
     source = source.select(*[c for c in target.columns if c in source.columns])
     updated = [c for c in UPDATED if c in source.columns]
     held = target.select(*key).dropna().distinct()
     small = held.count() <= broadcast_keys
-    held = F.broadcast(held) if small else held
+    held = F.broadcast(held) if small else settled(held)
     inserts = source.join(held, list(key), "left_anti").withColumn("action", F.lit("insert"))
 
     message = F.concat(F.lit(REPEATED_KEY + ": "), F.to_json(F.struct(*key)))
@@ -65,7 +68,7 @@ def merge(
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(f"_new_{c}") for c in updated])
         .filter(F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
     )
-    hits = F.broadcast(hits) if small else hits
+    hits = F.broadcast(hits) if small else settled(hits)
     hit = F.col("_copies").isNotNull()
     merged = target.join(hits, list(key), "left").select(
         *[
