@@ -14,6 +14,7 @@ from tidewater.schemas import (
     DIM_DATE,
     FACT_FINANCE,
     FACT_OPERATIONS,
+    STAGING_OPERATIONS,
     WAREHOUSE_FEED,
 )
 from tidewater.sources.tables import read_table, write_staging
@@ -106,6 +107,7 @@ def facts(spark, root):
 
 def test_load(spark, tmp_path):
     root = str(tmp_path / "dw")
+    load.create_star_schema(spark, root)
     assert load.populate_dim_date(spark, root, *DAYS).first().dates_populated == 31
     staging, _ = staged(spark, tmp_path, RUN_TS)
     load.seed_dimensions(spark, staging, root)
@@ -140,6 +142,22 @@ def test_load(spark, tmp_path):
     assert loads.filter("records_in IS NULL AND duration_sec IS NULL AND records_out = 4").count() == 3
 
 
+def test_staging_from_csv(spark, tmp_path):
+    columns = [c for c in STAGING_OPERATIONS]
+    row = "ORD-1,2024-01-05,Region 1,Day,115.5,0.125,2.8,95.5,20.1,True,100,4.555,warehouse_csv"
+    path = tmp_path / "clean.csv"
+    path.write_text(",".join([*columns, "year"]) + "\n" + row + ",2024\n")
+    (out,) = load.read_staging_csv(spark, str(path)).collect()
+    assert (out.order_date, out.sla_met, out.units_processed) == (dt.date(2024, 1, 5), True, 100)
+    # Two decimals, halves up; the cost follows the staged price.
+    assert [str(x) for x in (out.dock_delay_hrs, out.cost_per_unit, out.total_cost)] == [
+        "0.13", "4.56", "456.00",
+    ]
+    path.write_text(",".join(columns) + "\n" + row.replace("115.5", "1234567") + "\n")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        load.read_staging_csv(spark, str(path)).collect()
+
+
 def test_load_with_repeated_keys(spark, tmp_path):
     root = str(tmp_path / "dw")
     load.populate_dim_date(spark, root, *DAYS)
@@ -183,3 +201,5 @@ def test_finance_load(spark, tmp_path):
     centers = read_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER).collect()
     assert {r.cost_center_name for r in centers} == {"Labor", "Freight"}
     assert read_table(spark, f"{root}/dim_date", DIM_DATE).count() == 0
+    load.create_star_schema(spark, root)
+    assert read_table(spark, f"{root}/fact_finance", FACT_FINANCE).count() == 1

@@ -19,6 +19,7 @@ from tidewater.sources.readers import (
 )
 from tidewater.sources.tables import (
     export_csv,
+    open_table,
     read_checked,
     read_table,
     replace_run,
@@ -171,8 +172,14 @@ def test_replace_run_keeps_other_dates(spark, tmp_path):
     assert read_table(spark, path, table).count() == 3
 
 
-def test_missing_table_is_empty(spark, tmp_path):
-    assert read_table(spark, str(tmp_path / "none"), {"a": "int"}).count() == 0
+def test_open_table(spark, tmp_path):
+    table = {"a": "int", "pipeline_run_date": "date"}
+    for name, parts in (("plain", ()), ("split", ("pipeline_run_date",))):
+        path = str(tmp_path / name)
+        assert open_table(spark, path, table, parts).count() == 0
+        row = spark.createDataFrame([(1, dt.date(2024, 7, 1))], ddl(table))
+        row.write.mode("append").partitionBy(*parts).parquet(path)
+        assert open_table(spark, path, table, parts).collect() == row.collect()
 
 
 def test_values_that_do_not_fit_raise(spark):

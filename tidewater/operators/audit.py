@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from tidewater.functions.numbers import ratio_pct
 from tidewater.schemas import AUDIT_LOG, ddl
-from tidewater.sources.tables import append_rows, read_table
+from tidewater.sources.tables import append_rows, open_table
 
 ERROR_LIMIT = 500
 # Lines of the trend report.
@@ -87,7 +87,7 @@ def run_log(log: DataFrame) -> DataFrame:
 
 def append_log(spark: SparkSession, entries: Sequence[LogEntry], path: str) -> None:
     """Append log entries to the audit table, numbered on from its highest id."""
-    highest = read_table(spark, path, AUDIT_LOG).agg(F.max("log_id")).first()[0] or 0
+    highest = open_table(spark, path, AUDIT_LOG).agg(F.max("log_id")).first()[0] or 0
     # A handful of rows that the driver itself made, so one window over all of them is fine.
     order = W.orderBy("run_timestamp", "pipeline_step")
     numbered = log_frame(spark, entries).withColumn("log_id", F.row_number().over(order) + highest)

@@ -11,6 +11,7 @@ from tidewater.functions.numbers import money
 from tidewater.operators import dimensions, finance, upsert
 from tidewater.operators.audit import LogEntry, append_log
 from tidewater.schemas import (
+    AUDIT_LOG,
     DIM_COST_CENTER,
     DIM_DATE,
     DIM_REGION,
@@ -23,7 +24,14 @@ from tidewater.schemas import (
     conform,
 )
 from tidewater.sources.checkpoint import settled
-from tidewater.sources.tables import read_table, replace_run, replace_table, write_staging
+from tidewater.sources.readers import read_csv
+from tidewater.sources.tables import (
+    open_table,
+    read_table,
+    replace_run,
+    replace_table,
+    write_staging,
+)
 
 DIMENSIONS: dict[str, Table] = {
     "dim_date": DIM_DATE,
@@ -32,6 +40,8 @@ DIMENSIONS: dict[str, Table] = {
     "dim_cost_center": DIM_COST_CENTER,
     "dim_source": DIM_SOURCE,
 }
+FACTS: dict[str, Table] = {"fact_operations": FACT_OPERATIONS, "fact_finance": FACT_FINANCE}
+RUN_PARTITION = ("pipeline_run_date",)
 STAGED: Table = {**STAGING_OPERATIONS, "total_cost": "decimal(12,2)"}
 # Dimension, its name column and key, and the staging column that brings new names.
 SEEDED = (
@@ -56,7 +66,15 @@ def stage_operations(accepted: DataFrame) -> DataFrame:
 
 
 def read_dimensions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, f"{root}/{name}", table) for name, table in DIMENSIONS.items()}
+    return {name: open_table(spark, f"{root}/{name}", table) for name, table in DIMENSIONS.items()}
+
+
+def create_star_schema(spark: SparkSession, root: str) -> None:
+    """Create every table that does not exist yet, empty; the jobs also do so on first use."""
+    read_dimensions(spark, root)
+    for name, table in FACTS.items():
+        open_table(spark, f"{root}/{name}", table, RUN_PARTITION)
+    open_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG)
 
 
 def _rewrite(spark: SparkSession, rows: DataFrame, root: str, name: str, table: Table) -> None:
@@ -74,7 +92,7 @@ def populate_dim_date(
     end: date = dimensions.CALENDAR_END,
 ) -> DataFrame:
     """Add the days that the calendar table lacks; returns how many days it then holds."""
-    existing = read_table(spark, f"{root}/dim_date", DIM_DATE)
+    existing = open_table(spark, f"{root}/dim_date", DIM_DATE)
     days = dimensions.date_dimension(spark, start, end)
     _rewrite(spark, dimensions.add_absent(existing, days, "date_key"), root, "dim_date", DIM_DATE)
     held = read_table(spark, f"{root}/dim_date", DIM_DATE)
@@ -89,11 +107,20 @@ def seed_dimensions(spark: SparkSession, staging_path: str, root: str) -> None:
     for dim, name, key, column in SEEDED:
         table = DIMENSIONS[dim]
         names = combos.select(F.col(column).alias(name))
-        existing = read_table(spark, f"{root}/{dim}", table)
+        existing = open_table(spark, f"{root}/{dim}", table)
         seeded = dimensions.seed_members(existing, names, name, key)
         _rewrite(spark, seeded, root, dim, table)
 
 
+def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A clean CSV that holds the staging columns, header skipped and values cast.
+
+    A value that does not fit its column's type fails the read. Columns that staging does not
+    have are left out, and the cost is computed here again.
+    """
+    return stage_operations(read_csv(spark, path))
+
+
 def write_operations_staging(accepted: DataFrame, path: str) -> None:
     """Keep the day's typed staging rows, which the load then reads more than once."""
     write_staging(stage_operations(accepted), path)
@@ -117,7 +144,7 @@ def load_operations(
     """
     run_date = run_date or run_ts.date()
     path = f"{root}/fact_operations"
-    target = read_table(spark, path, FACT_OPERATIONS)
+    target = open_table(spark, path, FACT_OPERATIONS, RUN_PARTITION)
     target = target.filter(F.col("pipeline_run_date") == F.lit(run_date))
     staging = read_table(spark, staging_path, STAGED)
 
@@ -173,7 +200,7 @@ def load_finance(
     # One row per cell from here on, so the feed is read once.
     cells = settled(finance.finance_cells(accepted))
     names = cells.select(F.col("cost_center").alias("cost_center_name"))
-    dim = read_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER)
+    dim = open_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER)
     seeded = dimensions.seed_members(dim, names, "cost_center_name", "cost_center_key")
     _rewrite(spark, seeded, root, "dim_cost_center", DIM_COST_CENTER)
 

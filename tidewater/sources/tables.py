@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,13 +57,19 @@ def write_staging(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 
 
 def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """A kept table with its declared types; empty when it was never written."""
-    try:
-        return spark.read.schema(ddl(table)).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return conform(spark.range(0), table)
+    """A kept table with its declared types."""
+    return spark.read.schema(ddl(table)).parquet(path)
+
+
+def open_table(
+    spark: SparkSession, path: str, table: Table, partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """A kept table, created empty when it does not exist yet."""
+    writer = conform(spark.range(0), table).write.mode("ignore")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return read_table(spark, path, table)
 
 
 def replace_table(df: DataFrame, path: str, table: Table) -> None:
