@@ -30,7 +30,9 @@ def _is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
-def failed_rules(df: DataFrame, rules: RuleSet, parsed: dict[str, Column]) -> list[tuple[str, Column]]:
+def failed_rules(
+    df: DataFrame, rules: RuleSet, parsed: dict[str, Column]
+) -> list[tuple[str, Column]]:
     """Reason text and never-null failure flag per rule; ``parsed`` holds the columns as numbers.
 
     Rules on columns that the feed lacks are left out.

@@ -80,9 +80,9 @@ def run_daily(
                 run_ts,
                 name,
                 "SUCCESS",
-                counts.get("records_in"),
-                counts.get("records_out"),
-                counts.get("records_rejected"),
+                counts.get("records_in", 0),
+                counts.get("records_out", 0),
+                counts.get("records_rejected", 0),
                 time.monotonic() - start,
                 source_system=source,
             )

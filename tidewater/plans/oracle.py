@@ -268,7 +268,7 @@ def _stats(source: str, view: str) -> str:
   count(*) FILTER (rejected) AS records_rejected, round(CAST(count(*) FILTER (rejected) AS DOUBLE) / count(*) * 100, 6) AS rejection_rate FROM {view}"""
 
 
-_LIMITS = {"order_id": 11, "region": 60, "shift": 20, "record_source": 40}
+_LIMITS = {"order_id": 10, "region": 60, "shift": 20, "record_source": 40}
 _COLUMNS = RAW.split(", ")
 _STEP = """SELECT '{step}' AS step, 'SUCCESS' AS status, {came} AS records_in, {kept} AS records_out, {lost} AS records_rejected,
   round(CAST({lost} AS DOUBLE) / {came} * 100, 6) AS rejection_rate FROM {view}"""
