@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's folder for intermediate results, below its ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one gets
-    a temporary folder; a cluster without one is an error, since a machine-local folder would be
-    lost with its machine.
+    Only a session in a single local process gets a temporary folder when none is set; a cluster
+    without one is an error, since a machine-local folder would be lost with its machine.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
                 raise RuntimeError("Set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="tidewater-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the session's shared folder.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go when the frame does.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
