@@ -50,3 +50,10 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+def put_aside(df: DataFrame, results: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns named like ``results`` renamed, and the columns that undo that."""
+    clashing = [c for c in df.columns if c.lower() in {r.lower() for r in results}]
+    names = dict(zip(clashing, free_names(df, *[f"_{c}" for c in clashing])))
+    return df.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in df.columns]

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BLANKS, free_names, id_of, lowered, text_of
+from tidewater.llm.common import BLANKS, free_names, id_of, lowered, put_aside, text_of
 
 
 def _keyed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -100,3 +100,9 @@ def drop_shared_lines(
         F.size(lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.size(drops), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
+
+
+def without_shared_lines(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with its own columns only, shared lines taken out of the text."""
+    aside, restored = put_aside(docs, ["n_lines", "n_dropped"])
+    return drop_shared_lines(aside, **options).select(*restored)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import BLANKS, free_names, raw_text, record
+from tidewater.llm.common import BLANKS, free_names, put_aside, raw_text, record
 from tidewater.sources.checkpoint import settled
 
 # The symbols that the rules count.
@@ -321,7 +321,8 @@ def keep_clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     The texts are counted once for the estimates and once more where they are judged: that is a
     narrow stage, and cheaper than shuffling the texts to join their verdicts.
     """
-    (s,) = free_names(docs, "_counts")
-    slim = docs.select("lang", "source", text_counts(text_col).alias(s))
+    aside, restored = put_aside(docs, ["base_failed", "distance", "kept"])
+    (s,) = free_names(aside, "_counts")
+    slim = aside.select("lang", "source", text_counts(text_col).alias(s))
     estimates = fit(settled(slim), s)
-    return judge(with_counts(docs, s, text_col), s, estimates).filter("kept").select(*docs.columns)
+    return judge(with_counts(aside, s, text_col), s, estimates).filter("kept").select(*restored)
