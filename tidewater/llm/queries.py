@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, line_dedup, quality_rules, simhash
+from tidewater.llm import (
+    decontaminate,
+    line_dedup,
+    quality_rules,
+    sentencepiece_codec,
+    sharding,
+    simhash,
+)
+
+# The vocabulary file that the queries use, installed on every machine.
+MODEL = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(MODEL)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items)
@@ -36,6 +52,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_rows(table(spark, sf_dir, "documents"), shards=8)
+    law = F.lit("key").alias("law")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", "grown_shard")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.assess(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -47,9 +69,23 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.tokenize(table(spark, sf_dir, "documents"), model_path())
+    numbers = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_sharding": op5_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
