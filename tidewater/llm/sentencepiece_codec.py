@@ -8,7 +8,6 @@ among equals. The sentencepiece library encodes every text of the same Arrow bat
 from __future__ import annotations
 
 import re
-import string
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -36,7 +35,10 @@ class Merger:
             raise ValueError("Vocabularies with unused pieces are not supported")
         special = {i for i in every if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
         self.ids = {model.id_to_piece(i): i for i in every if i not in special}
-        self.cost = {piece: -model.get_score(i) for piece, i in self.ids.items()}
+        # Equal scores share a rank, so that the leftmost of equals goes first.
+        scores = sorted({model.get_score(i) for i in self.ids.values()}, reverse=True)
+        place = {score: r for r, score in enumerate(scores)}
+        self.rank = {piece: place[model.get_score(i)] for piece, i in self.ids.items()}
         self.unknown = model.unk_id()
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_fallback = all(model.is_byte(i) for i in self.bytes)
@@ -46,50 +48,47 @@ class Merger:
     def _cuts(self) -> str:
         """Parts that no merge can cross: two neighbours in no piece never become one symbol.
 
-        A part is a run of spaces with the marks or the other characters that follow. Marks are
-        the ASCII signs that meet others in no piece; line ends stand alone where no piece has one.
+        A part begins at a run of spaces, and a word ends before a sign where its letters meet
+        signs in no piece. Line ends stand alone where no piece has one.
         """
         longer = [p for p in self.ids if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in longer):
             return ".+"
         end = "" if any("\n" in p for p in longer) else "\n"
-        pairs = {pair for p in longer for pair in zip(p, p[1:]) if SPACE not in pair}
-        marks = set(string.punctuation)
-        while mixed := {c for pair in pairs for c in pair if c in marks and not marks.issuperset(pair)}:
-            marks -= mixed
-        signs = re.escape("".join(sorted(marks)))
-        parts = [f"{SPACE}*[^{SPACE}{end}{signs}]+", f"{SPACE}*[{signs}]+" if marks else "", f"{SPACE}+", end]
+        before_signs = {a for p in longer for a, b in zip(p, p[1:]) if not b.isalnum()}
+        letters = [c for c in map(chr, range(65, 256)) if c.isalpha() and c not in before_signs]
+        word = f"{SPACE}*[{''.join(letters)}]++(?![^\\W_])" if letters else ""
+        parts = [word, f"{SPACE}*[^{SPACE}{end}]+", f"{SPACE}+", end]
         return "|".join(p for p in parts if p)
 
     def merged(self, part: str) -> list[str]:
-        """The symbols left when no adjacent pair makes a piece any more."""
-        cost, n = self.cost, len(part)
-        symbols: list[str | None] = list(part)
+        """The symbols left when no adjacent pair makes a piece any more.
+
+        An agenda entry is one number: the pair's rank by score, then its place.
+        """
+        rank, n = self.rank.get, len(part)
+        symbols = list(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            pair = part[i : i + 2]
-            if pair in cost:
-                agenda.append((cost[pair], i, pair))
+        agenda = [r * n + i for i in range(n - 1) if (r := rank(part[i : i + 2])) is not None]
         heapify(agenda)
         while agenda:
-            _, i, piece = heappop(agenda)
-            left, j = symbols[i], after[i]
-            if left is None or j >= n or left + symbols[j] != piece:
+            r, i = divmod(heappop(agenda), n)
+            j = after[i]
+            if j >= n or not symbols[i]:
+                continue
+            piece = symbols[i] + symbols[j]
+            if rank(piece) != r:
                 continue  # one of the two has been merged meanwhile
-            symbols[i], symbols[j] = piece, None
+            symbols[i], symbols[j] = piece, ""
             j = after[i] = after[j]
             if j < n:
                 before[j] = i
-                pair = piece + symbols[j]
-                if pair in cost:
-                    heappush(agenda, (cost[pair], i, pair))
+                if (r := rank(piece + symbols[j])) is not None:
+                    heappush(agenda, r * n + i)
             h = before[i]
-            if h >= 0:
-                pair = symbols[h] + piece
-                if pair in cost:
-                    heappush(agenda, (cost[pair], h, pair))
-        return [s for s in symbols if s is not None]
+            if h >= 0 and (r := rank(symbols[h] + piece)) is not None:
+                heappush(agenda, r * n + h)
+        return [s for s in symbols if s]
 
     def part_ids(self, part: str) -> tuple[int, ...]:
         whole = self.ids.get(part) if len(part) == 1 else None
