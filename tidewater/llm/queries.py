@@ -11,6 +11,7 @@ from tidewater.llm import (
     chat_format,
     decontaminate,
     line_dedup,
+    quality_classifier,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -33,6 +34,16 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = labels.filter(~quality_classifier.held_out())
+    model = quality_classifier.fit_model(*quality_classifier.training_matrix(docs, learned))
+    scored = quality_classifier.classify(docs, model)
+    return scored.select(
+        "doc_id", quality_classifier.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items)
@@ -95,6 +106,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_sharding": op5_sharding,
