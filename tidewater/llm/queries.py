@@ -13,6 +13,7 @@ from tidewater.llm import (
     line_dedup,
     quality_classifier,
     quality_rules,
+    secret_scan,
     sentencepiece_codec,
     sharding,
     simhash,
@@ -44,6 +45,18 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given tables label no finding, so those whose form decides are labelled by it.
+
+    Findings in the held-out fold of documents are not learned from.
+    """
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.find_candidates(docs).filter(~quality_classifier.held_out())
+    scanned = secret_scan.scan(docs, secret_scan.labelled_by_form(found))
+    digest = F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256")
+    return scanned.select("doc_id", "word_no", "part_no", digest, F.round("score", 6).alias("score"), "kept")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items)
@@ -107,6 +120,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_secret_scan": op2_secret_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_sharding": op5_sharding,
