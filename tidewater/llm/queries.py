@@ -11,6 +11,7 @@ from tidewater.llm import (
     chat_format,
     decontaminate,
     line_dedup,
+    passages,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -83,6 +84,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", "grown_shard")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.find_passages(table(spark, sf_dir, "documents"))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.assess(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -124,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_sharding": op5_sharding,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_formatting": op9_chat_formatting,
