@@ -114,7 +114,9 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencepiece_codec.tokenize(table(spark, sf_dir, "documents"), model_path())
-    numbers = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    # The digits of a JSON list, with a space for each comma.
+    listed = F.to_json("ids")
+    numbers = F.replace(F.substring(listed, F.lit(2), F.length(listed) - 2), F.lit(","), F.lit(" "))
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -2,12 +2,15 @@
 
 A text is normalised, cut where no piece of the vocabulary can cross, and each part is merged by
 an agenda: the adjacent pairs of symbols that make a piece, best score first, leftmost first
-among equals. The sentencepiece library encodes every text of the same Arrow batch as a check.
+among equals. Short parts of one length are merged together, their agendas being the rows of a
+matrix; a long part has a heap. The sentencepiece library encodes every text of the same Arrow
+batch as a check.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -21,13 +24,65 @@ from pyspark.sql import types as T
 from tidewater.llm.common import free_names, record, text_of
 
 SPACE = "▁"  # the sign that stands for a space inside pieces
-CACHED_PARTS = 400_000  # parts whose ids a task remembers
+CACHED_PARTS = 500_000  # parts whose ids a task remembers
+TEXTS = 1024  # texts that are encoded together
+SHORT = 32  # characters of a part that is merged in a matrix
+NONE = np.int32(2**31 - 1)
 
 _CODED = record(ids=T.ArrayType(T.IntegerType()), decoded=T.StringType(), agrees=T.BooleanType())
 
 
+class PairTable:
+    """Looks up what two adjacent symbols make, for arrays of symbols."""
+
+    BITS = 20
+
+    def __init__(self, pairs: dict[tuple[int, int], int], width: int) -> None:
+        self.width = np.int64(width)
+        keys = np.array([a * width + b for a, b in pairs], np.int64)
+        made = np.array(list(pairs.values()), np.int32)
+        order = np.argsort(keys)
+        self.sorted_keys, self.sorted_made = keys[order], made[order]
+        slots = self._slots(keys)
+        self.keys = np.full(1 << self.BITS, -1, np.int64)
+        self.made = np.full(1 << self.BITS, NONE, np.int32)
+        self.keys[slots], self.made[slots] = keys, made
+        # Slots that several pairs want; those are looked up by bisection.
+        self.crowded = np.bincount(slots, minlength=1 << self.BITS) > 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).view(np.int64)
+
+    def made_by(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a.astype(np.int64) * self.width + b
+        slots = self._slots(keys)
+        found = np.where(self.keys[slots] == keys, self.made[slots], NONE)
+        again = np.flatnonzero(self.crowded[slots])
+        if len(again):
+            at = np.searchsorted(self.sorted_keys, keys[again])
+            at[at == len(self.sorted_keys)] = 0
+            found[again] = np.where(self.sorted_keys[at] == keys[again], self.sorted_made[at], NONE)
+        return found
+
+
+class _Numbered(dict):
+    """Numbers parts as they come; ``fresh`` lists those that are new."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.fresh.append(part)
+        return number
+
+
 class Merger:
-    """Encodes parts of normalised texts by the pieces and scores of a loaded model."""
+    """Encodes normalised texts by the pieces and scores of a loaded model.
+
+    Symbols are numbers: pieces first, then characters that pieces hold without being one, then
+    characters of no piece as they come.
+    """
 
     def __init__(self, model) -> None:
         every = range(model.get_piece_size())
@@ -40,10 +95,40 @@ class Merger:
         place = {score: r for r, score in enumerate(scores)}
         self.rank = {piece: place[model.get_score(i)] for piece, i in self.ids.items()}
         self.unknown = model.unk_id()
-        self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_fallback = all(model.is_byte(i) for i in self.bytes)
+        byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.bytes = byte_ids if all(model.is_byte(i) for i in byte_ids) else None
         self.parts = re.compile(self._cuts(), re.DOTALL)
-        self.cache: dict[str, tuple[int, ...]] = {}
+
+        symbols = [*self.ids, *sorted({c for p in self.ids for c in p} - set(self.ids))]
+        number = {s: k for k, s in enumerate(symbols)}
+        self.width = len(symbols)
+        pairs = {
+            (number[p[:k]], number[p[k:]]): number[p]
+            for p in self.ids
+            for k in range(1, len(p))
+            if p[:k] in number and p[k:] in number
+        }
+        self.table = PairTable(pairs, self.width + 1)
+        self.ranks = np.array([self.rank.get(s, NONE) for s in symbols], np.int64)
+        self.char = np.full(0x110000, -1, np.int32)
+        for s, k in number.items():
+            if len(s) == 1:
+                self.char[ord(s)] = k
+        self.symbol_ids = [self._ids_of(s) for s in symbols]
+        # The id of a symbol that is a piece, else -1.
+        self.piece_id = np.array([self.ids.get(s, -1) for s in symbols], np.int32)
+        self.forget()
+
+    def _ids_of(self, symbol: str) -> list[int]:
+        if symbol in self.ids:
+            return [self.ids[symbol]]
+        return [self.bytes[b] for b in symbol.encode()] if self.bytes else [self.unknown]
+
+    def forget(self) -> None:
+        self.known = _Numbered()
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
 
     def _cuts(self) -> str:
         """Parts that no merge can cross: two neighbours in no piece never become one symbol.
@@ -62,10 +147,7 @@ class Merger:
         return "|".join(p for p in parts if p)
 
     def merged(self, part: str) -> list[str]:
-        """The symbols left when no adjacent pair makes a piece any more.
-
-        An agenda entry is one number: the pair's rank by score, then its place.
-        """
+        """The symbols of one part, by a heap of numbers: the pair's rank, then its place."""
         rank, n = self.rank.get, len(part)
         symbols = list(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -90,29 +172,115 @@ class Merger:
                 heappush(agenda, r * n + h)
         return [s for s in symbols if s]
 
-    def part_ids(self, part: str) -> tuple[int, ...]:
-        whole = self.ids.get(part) if len(part) == 1 else None
-        symbols = [part] if whole is not None else self.merged(part)
-        out: list[int] = []
-        for s in symbols:
-            if s in self.ids:
-                out.append(self.ids[s])
-            elif self.byte_fallback:
-                out += [self.bytes[b] for b in s.encode()]
-            else:
-                out.append(self.unknown)
-        if len(self.cache) >= CACHED_PARTS:
-            self.cache.clear()
-        found = self.cache[part] = tuple(out)
-        return found
+    def _numbers(self, points: np.ndarray) -> np.ndarray:
+        """Symbols of characters; new ones of no piece get numbers of their own."""
+        for point in np.unique(points[self.char[points] < 0]):
+            self.char[point] = len(self.symbol_ids)
+            self.symbol_ids.append(self._ids_of(chr(point)))
+        return self.char[points]
+
+    def _merged_rows(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row numbers, symbols) of rows that have no pair left, for rows of equal length.
+
+        Every row that goes on makes its best pair one symbol, so all rows stay of one length.
+        """
+
+        def made_by(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            # Characters of no piece share a number that makes no pair.
+            return self.table.made_by(np.minimum(a, self.width), np.minimum(b, self.width))
+
+        at = np.arange(len(rows))
+        made = made_by(rows[:, :-1].ravel(), rows[:, 1:].ravel()).reshape(len(rows), -1)
+        while len(rows):
+            n = rows.shape[1]
+            if n == 1:
+                yield at, rows
+                return
+            ranks = np.where(made == NONE, np.int64(NONE), self.ranks[np.where(made == NONE, 0, made)])
+            best = ranks.argmin(axis=1)
+            every = np.arange(len(rows))
+            done = ranks[every, best] == NONE
+            if done.any():
+                yield at[done], rows[done]
+                go = ~done
+                at, rows, made, best = at[go], rows[go], made[go], best[go]
+                every = np.arange(len(rows))
+                if not len(rows):
+                    return
+            rows[every, best] = made[every, best]
+            columns = np.arange(n)
+            rows = rows[columns != best[:, None] + 1].reshape(len(rows), n - 1)
+            made = made[columns[:-1] != best[:, None]].reshape(len(rows), n - 2)
+            left, right = np.flatnonzero(best > 0), np.flatnonzero(best < n - 2)
+            k = best[left]
+            made[left, k - 1] = made_by(rows[left, k - 1], rows[left, k])
+            k = best[right]
+            made[right, k] = made_by(rows[right, k], rows[right, k + 1])
+
+    def _learn(self, parts: list[str]) -> None:
+        """Merge parts that are new and keep their ids, in the order of their numbers."""
+        by_length = defaultdict(list)
+        for k, p in enumerate(parts):
+            by_length[len(p) if len(p) <= SHORT else 0].append(k)
+        sizes = np.zeros(len(parts), np.int64)
+        starts = np.zeros(len(parts), np.int64)
+        pools, end = [self.pool], len(self.pool)
+
+        def keep(at: np.ndarray, ids: np.ndarray, own: np.ndarray) -> None:
+            nonlocal end
+            sizes[at] = own
+            starts[at] = end + np.cumsum(own) - own
+            pools.append(ids)
+            end += len(ids)
+
+        for n, own in by_length.items():
+            if n == 0:
+                for k in own:
+                    ids = list(chain.from_iterable(map(self._ids_of, self.merged(parts[k]))))
+                    keep(np.array([k]), np.array(ids, np.int32), np.array([len(ids)]))
+                continue
+            own = np.array(own)
+            points = np.frombuffer("".join([parts[k] for k in own]).encode("utf-32-le"), np.uint32)
+            for at, rows in self._merged_rows(self._numbers(points).reshape(-1, n).copy()):
+                keep(own[at], *self._ids_of_rows(rows))
+        self.starts = np.concatenate((self.starts, starts))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.pool = np.concatenate(pools)
+
+    def _ids_of_rows(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if rows.max() < self.width:
+            ids = self.piece_id[rows]
+            if ids.min() >= 0:
+                return ids.ravel(), np.full(len(rows), rows.shape[1])
+        lists = [self.symbol_ids[x] for x in rows.ravel().tolist()]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)).reshape(rows.shape).sum(axis=1)
+        return np.fromiter(chain.from_iterable(lists), np.int32), sizes
+
+    def encode_all(self, normals: list[str]) -> list[np.ndarray]:
+        """The ids of each normalised text."""
+        cut = [self.parts.findall(text) for text in normals]
+        parts = list(chain.from_iterable(cut))
+        if not parts:
+            return [np.zeros(0, np.int32) for _ in normals]
+        if len(self.known) > CACHED_PARTS:
+            self.forget()
+        codes = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        if self.known.fresh:
+            self._learn(self.known.fresh)
+            self.known.fresh = []
+        lengths = self.sizes[codes]
+        ends = np.cumsum(lengths)
+        # Every id's place in the pool: its part's start, and on from there.
+        ids = self.pool[np.repeat(self.starts[codes] - ends + lengths, lengths) + np.arange(ends[-1])]
+        per_text = np.cumsum([len(c) for c in cut])
+        bounds = np.concatenate(([0], ends))[per_text]
+        found = np.split(ids, bounds[:-1])
+        return found if self.bytes else [self._joined_unknowns(x) for x in found]
 
-    def encode(self, normal: str) -> list[int]:
-        known, missing = self.cache.get, self.part_ids
-        ids = list(chain.from_iterable([known(p) or missing(p) for p in self.parts.findall(normal)]))
-        if self.byte_fallback or self.unknown not in ids:
-            return ids
-        # A run of unknown characters is one unknown piece.
-        return [x for k, x in enumerate(ids) if not (k and x == self.unknown == ids[k - 1])]
+    def _joined_unknowns(self, ids: np.ndarray) -> np.ndarray:
+        """A run of unknown characters is one unknown piece."""
+        unknown = ids == self.unknown
+        return ids[~(unknown & np.concatenate(([False], unknown[:-1])))] if len(ids) else ids
 
 
 def coded(model_path: str, text: Column, decode: bool = True) -> Column:
@@ -123,16 +291,19 @@ def coded(model_path: str, text: Column, decode: bool = True) -> Column:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        merger, end = Merger(model), model.eos_id()
+        merger, end = Merger(model), np.array([model.eos_id()], np.int32)
         for batch in batches:
             sizes, ids, texts, agrees = [0], [], [], []
-            for text in batch.to_pylist():
-                own = merger.encode(model.normalize(text)) if text else []
-                own.append(end)
-                agrees.append(own == model.encode(text, add_eos=True, num_threads=1))
-                ids.append(np.array(own, np.int32))
-                sizes.append(len(own))
-                texts.append(model.decode(own) if decode else None)
+            for k in range(0, len(batch), TEXTS):
+                given = batch[k : k + TEXTS].to_pylist()
+                # An empty text has no pieces, where a normalised one may begin with a space.
+                normal = [model.normalize(text) if text else "" for text in given]
+                for text, own in zip(given, merger.encode_all(normal)):
+                    own = np.concatenate((own, end))
+                    agrees.append(np.array_equal(own, model.encode_as_numpy(text, add_eos=True)))
+                    ids.append(own)
+                    sizes.append(len(own))
+                    texts.append(model.decode(own.tolist()) if decode else None)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum(sizes), pa.int32()),
                 pa.array(np.concatenate([np.zeros(0, np.int32), *ids])),
