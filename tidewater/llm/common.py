@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+import sys
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,3 +59,13 @@ def put_aside(df: DataFrame, results: list[str]) -> tuple[DataFrame, list[Column
     clashing = [c for c in df.columns if c.lower() in {r.lower() for r in results}]
     names = dict(zip(clashing, free_names(df, *[f"_{c}" for c in clashing])))
     return df.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in df.columns]
+
+
+def worker_store() -> dict:
+    """A dictionary that lives as long as the worker process, for what is costly to load.
+
+    Functions reach a worker anew with every task, and their globals with them; a module of the
+    process stays.
+    """
+    name = "_tidewater_worker_store"
+    return sys.modules.setdefault(name, ModuleType(name)).__dict__

@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import free_names, record, text_of
+from tidewater.llm.common import free_names, record, text_of, worker_store
 
 SPACE = "▁"  # the sign that stands for a space inside pieces
-CACHED_PARTS = 500_000  # parts whose ids a task remembers
+CACHED_PARTS = 500_000  # parts whose ids a worker remembers
 TEXTS = 1024  # texts that are encoded together
 SHORT = 32  # characters of a part that is merged in a matrix
 NONE = np.int32(2**31 - 1)
@@ -290,8 +290,12 @@ def coded(model_path: str, text: Column, decode: bool = True) -> Column:
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        merger, end = Merger(model), np.array([model.eos_id()], np.int32)
+        store = worker_store()
+        if model_path not in store:
+            model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+            store[model_path] = model, Merger(model)
+        model, merger = store[model_path]
+        end = np.array([model.eos_id()], np.int32)
         for batch in batches:
             sizes, ids, texts, agrees = [0], [], [], []
             for k in range(0, len(batch), TEXTS):
