@@ -6,18 +6,21 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import quality
-from tidewater.plans import daily, load
+from tidewater.operators import audit, constraints, finance, quality
+from tidewater.plans import daily, derived, load
 from tidewater.schemas import (
     AUDIT_LOG,
     DIM_COST_CENTER,
     DIM_DATE,
+    DIM_REGION,
     FACT_FINANCE,
     FACT_OPERATIONS,
     STAGING_OPERATIONS,
     WAREHOUSE_FEED,
+    conform,
+    text_limits,
 )
-from tidewater.sources.tables import read_table, write_staging
+from tidewater.sources.tables import append_rows, read_table, write_staging
 
 RUN_TS = dt.datetime(2024, 7, 1, 2, 30)
 LATER = dt.datetime(2024, 7, 1, 5, 0)
@@ -49,6 +52,7 @@ def write_feeds(tmp_path, prices=(4.5, 5.0), bad=True):
         str(tmp_path / "staging"),
         str(tmp_path / "dw"),
         str(tmp_path / "logs"),
+        finance_is_array=True,
     )
 
 
@@ -88,8 +92,7 @@ def test_failed_run_is_logged(spark, tmp_path):
     assert len(log) == 3  # the run stops at the failing step
     failed = log["Quality Check: Warehouse"]
     assert failed.status == "FAILED"
-    assert failed.error_message.startswith("Missing required columns: ['order_date'")
-    assert len(failed.error_message) <= 500
+    assert failed.error_message.startswith("The feed lacks required columns: ['order_date'")
     assert not (tmp_path / "staging" / "warehouse").exists()
 
 
@@ -180,18 +183,69 @@ def test_load_with_repeated_keys(spark, tmp_path):
         load.load_operations(spark, twice, root, LATER, repeats="some")
 
 
+def test_lossy_values_are_logged(spark, tmp_path):
+    paths = write_feeds(tmp_path)
+    feed = (tmp_path / "w.csv").read_text().replace(",2.8,", ",abc,", 1).replace(",100,4.5", ",12.7,4.5", 1)
+    (tmp_path / "w.csv").write_text(feed)
+    daily.run_daily(spark, paths, RUN_TS)
+    log = {r.pipeline_step: r for r in read_table(spark, paths.audit, AUDIT_LOG).collect()}
+    told = log["Quality Check: Warehouse"].error_message
+    assert told.endswith("defect_rate_pct 1, units_processed 1")
+    assert log["Quality Check: Finance"].error_message is None
+
+
+def test_long_errors_stay_whole(spark, tmp_path):
+    text = "x" * 2000
+    entry = audit.LogEntry(RUN_TS.date(), RUN_TS, "step", "FAILED", error=text)
+    path = str(tmp_path / "log")
+    audit.append_log(spark, [entry], path)
+    log = read_table(spark, path, AUDIT_LOG)
+    assert log.first().error_message == text
+    over = constraints.too_long(log, text_limits(AUDIT_LOG)).filter("too_long_records > 0")
+    assert [(r.column_name, r.too_long_records) for r in over.collect()] == [("error_message", 1)]
+
+
+def test_failed_load_is_logged(spark, tmp_path):
+    root = str(tmp_path / "dw")
+    load.create_star_schema(spark, root)
+    with pytest.raises(Exception):
+        load.load_operations(spark, str(tmp_path / "absent"), root, RUN_TS)
+    (row,) = read_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG).collect()
+    assert (row.pipeline_step, row.status) == (load.LOAD_STEP, "FAILED") and row.error_message
+
+
+def test_members_are_only_appended(spark, tmp_path):
+    """A run broken off at any point leaves the members that facts refer to as they are."""
+    root = str(tmp_path / "dw")
+    staging, _ = staged(spark, tmp_path, RUN_TS)
+    load.seed_dimensions(spark, staging, root)
+    load.populate_dim_date(spark, root, *DAYS)
+    files = {p: p.stat().st_mtime_ns for d in ("dim_region", "dim_date") for p in (tmp_path / "dw" / d).glob("*.parquet")}
+    rows = read_table(spark, staging, load.STAGED)
+    more = str(tmp_path / "staging" / "more")
+    write_staging(rows.withColumn("region", F.lit("Another")), more)
+    load.seed_dimensions(spark, more, root)
+    load.populate_dim_date(spark, root, DAYS[0], dt.date(2024, 2, 2))
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    regions = {r.region_name: r.region_key for r in read_table(spark, f"{root}/dim_region", DIM_REGION).collect()}
+    assert regions == {"Region 1": 1, "Region 2": 2, "Another": 3}
+    assert read_table(spark, f"{root}/dim_date", DIM_DATE).count() == 33
+    before = set((tmp_path / "dw" / "dim_region").glob("*.parquet"))
+    load.seed_dimensions(spark, more, root)
+    assert set((tmp_path / "dw" / "dim_region").glob("*.parquet")) == before
+
+
 def test_finance_load(spark, tmp_path):
     root = str(tmp_path / "dw")
+    load.create_star_schema(spark, root)
     staging, checked = staged(spark, tmp_path, RUN_TS)
     load.seed_dimensions(spark, staging, root)
-    rows = read_table(spark, staging, load.STAGED)
-    other = str(tmp_path / "staging" / "other")
-    write_staging(rows.withColumn("record_source", F.lit("finance_json")), other)
-    load.seed_dimensions(spark, other, root)
-    units = spark.createDataFrame([("NE", "Region 1"), ("SE", "Nowhere")], "business_unit string, region string")
+    load.load_operations(spark, staging, root, RUN_TS)
+    units = spark.createDataFrame([("NE", "Region 1")], "business_unit string, region string")
     accepted = daily.accepted_finance(checked["finance"])
     for run_ts in (RUN_TS, LATER):
-        load.load_finance(spark, accepted, units, root, run_ts)
+        (lost,) = load.load_finance(spark, accepted, units, root, run_ts).collect()
+    assert (lost.business_unit, lost.unmatched, float(lost.actual_amount)) == ("SE", "business_unit", 5.0)
     (row,) = read_table(spark, f"{root}/fact_finance", FACT_FINANCE).collect()
     assert (row.date_key, row.region_key, row.revenue) == (20240101, 1, None)
     assert [float(x) for x in (row.actual_amount, row.budget_amount, row.variance_amount)] == [
@@ -200,6 +254,61 @@ def test_finance_load(spark, tmp_path):
     assert row.load_timestamp == LATER
     centers = read_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER).collect()
     assert {r.cost_center_name for r in centers} == {"Labor", "Freight"}
-    assert read_table(spark, f"{root}/dim_date", DIM_DATE).count() == 0
+    audit_rows = read_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG).filter("source_system = 'finance_json'")
+    assert audit_rows.filter("pipeline_step = 'Load: Finance' AND records_out = 1 AND status = 'SUCCESS'").count() == 2
+
+    # A mapping to a region that no staging row named adds it; a missing cost centre is reported.
+    units = units.unionByName(spark.createDataFrame([("SE", "Elsewhere")], units.schema))
+    null_center = accepted.withColumn("cost_center", F.when(F.col("business_unit") == "NE", F.col("cost_center")))
+    (lost,) = load.load_finance(spark, null_center, units, root, LATER).collect()
+    assert (lost.business_unit, lost.unmatched) == ("SE", "cost_center")
+    assert load.load_finance(spark, accepted, units, root, LATER).count() == 0
+    assert read_table(spark, f"{root}/fact_finance", FACT_FINANCE).count() == 2
+
+    # A rerun without any accepted row leaves no old facts.
+    load.load_finance(spark, accepted.limit(0), units, root, LATER)
+    assert read_table(spark, f"{root}/fact_finance", FACT_FINANCE).count() == 0
+
+
+def test_sums_loaded_and_reported_make_the_accepted_sum(spark, sf_dir, tmp_path):
+    root = str(tmp_path / "dw")
+    accepted = derived.accepted_finance(spark, sf_dir)
+    units = derived.table(spark, sf_dir, "region").filter("r_name <> 'ASIA'").selectExpr("r_name AS business_unit", "r_name AS region")
+    lost = load.load_finance(spark, accepted, units, root, RUN_TS)
+    held = read_table(spark, f"{root}/fact_finance", FACT_FINANCE)
+
+    def total(df):
+        return df.agg(F.sum(F.coalesce("budget_amount", F.lit(0)) + F.coalesce("actual_amount", F.lit(0)))).first()[0]
+
+    whole = accepted.agg(F.sum(F.col("amount").cast("decimal(18,2)"))).first()[0]
+    assert lost.count() > 0 and total(held) + total(lost) == whole
+
+
+def test_unknown_source_is_an_error(spark):
+    none = spark.createDataFrame([], "source_key int, source_name string")
+    with pytest.raises(finance.UnknownSourceError):
+        finance.finance_fact(none, none, none, none, none)
+
+
+def test_audit_of_the_star_schema(spark, tmp_path):
+    root = str(tmp_path / "dw")
     load.create_star_schema(spark, root)
-    assert read_table(spark, f"{root}/fact_finance", FACT_FINANCE).count() == 1
+    assert load.audit_star_schema(spark, root).count() == 0
+    load.populate_dim_date(spark, root, *DAYS)
+    staging, checked = staged(spark, tmp_path, RUN_TS)
+    load.seed_dimensions(spark, staging, root)
+    load.load_operations(spark, staging, root, RUN_TS)
+    units = spark.createDataFrame([("NE", "Region 1"), ("SE", "Region 2")], "business_unit string, region string")
+    load.load_finance(spark, daily.accepted_finance(checked["finance"]), units, root, RUN_TS)
+    assert load.audit_star_schema(spark, root).count() == 0
+    append_rows(spark.createDataFrame([(1, None)], "region_key int, region_name string"), f"{root}/dim_region", DIM_REGION)
+    lost = [(5, 20240101, 9, 1, 1, RUN_TS.date())]
+    columns = "fact_key long, date_key int, region_key int, shift_key int, source_key int, pipeline_run_date date"
+    lost = conform(spark.createDataFrame(lost, columns), FACT_OPERATIONS)
+    lost.write.mode("append").partitionBy("pipeline_run_date").parquet(f"{root}/fact_operations")
+    faults = {(r.table_name, r.rule, r.column_name): r.records for r in load.audit_star_schema(spark, root).collect()}
+    assert faults == {
+        ("dim_region", "primary_key", "region_key"): 2,
+        ("dim_region", "not_null", "region_name"): 1,
+        ("fact_operations", "foreign_key", "region_key"): 1,
+    }

@@ -66,7 +66,7 @@ def test_rules(spark):
 
 def test_missing_required_column(spark):
     df = spark.createDataFrame([tuple(GOOD.values())], COLUMNS).drop("shift")
-    with pytest.raises(quality.MissingColumnsError, match=r"Missing required columns: \['shift'\]"):
+    with pytest.raises(quality.MissingColumnsError, match=r"The feed lacks required columns: \['shift'\]"):
         quality.check(df, RULES["warehouse"])
     assert quality.check(df, RULES["warehouse"], require=False).count() == 1
 

@@ -80,7 +80,7 @@ def test_summary_and_trend(log):
     empty = audit.run_summary(log.filter("false")).first()
     assert (empty.steps, empty.records_in, empty.rejected_pct) == (0, 0, 0.0)
     trend = audit.trend_alerts(audit.daily_trend(log)).orderBy("run_date").collect()
-    assert [r.records_out for r in trend] == [90, 100, 198]
+    assert [r.records_out for r in trend] == [180, 0, 198]
     assert [r.rejection_alert for r in trend] == [True, False, False]
     assert [r.duration_alert for r in trend] == [False, True, True]
     total = audit.trend_summary(audit.daily_trend(log)).first()

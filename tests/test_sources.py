@@ -1,6 +1,7 @@
 import datetime as dt
 import io
 import json
+import os
 
 import pandas as pd
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import quality
 from tidewater.operators.rules import RULES
-from tidewater.schemas import FINANCE_FEED, WAREHOUSE_FEED, conform, ddl
+from tidewater.schemas import FINANCE_FEED, UNREADABLE, WAREHOUSE_FEED, conform, ddl
 from tidewater.sources.readers import (
+    lossy_values,
     read_csv,
     read_json,
     read_landing_csv,
@@ -35,7 +37,7 @@ ODD = [
     "NA,2024-01-05,Region 1,Day,115.5,2.5,2.8,95.5,20.1,100,4.55",
     '"ORD-3, ""b""",2024-01-05,"Region 2",Night,abc,2.5,2.8,95.5,20.1,100,4.55',
     "ORD-4,2024-01-05,,Day,115.5,N/A,null,,None,100,4.55",
-    'ORD-5,2024-01-05,"",Day,115.5,,2.8,95.5',
+    'ORD-5,2024-01-05,"",Day,115.5,,2.8,95.5,,,',
     "ORD-6,2024-01-06,Region 1,Day,1e2,nan,abc,95.5,20.1,7,4.55",
 ]
 
@@ -48,7 +50,11 @@ def put(path, *lines):
 
 def test_csv_matches_pandas(spark, tmp_path):
     path = put(tmp_path / "w.csv", HEADER, *ODD)
-    ours = [tuple(r) for r in read_csv(spark, path).collect()]
+    feed = read_csv(spark, path)
+    assert feed.columns == [*WAREHOUSE_FEED, UNREADABLE]
+    rows = [tuple(r) for r in feed.collect()]
+    assert {r[-1] for r in rows} == {None}
+    ours = [r[:-1] for r in rows]
     theirs = pd.read_csv(io.StringIO(open(path).read()), dtype=str)
     assert ours == [
         tuple(None if v != v else v for v in r) for r in theirs.itertuples(index=False)
@@ -60,13 +66,28 @@ def test_csv_with_line_breaks(spark, tmp_path):
     assert [r.a for r in read_csv(spark, path, multiline=True).collect()] == ["one\ntwo", "three"]
 
 
-def test_strict_csv_fails_on_uneven_rows(spark, tmp_path):
-    path = put(tmp_path / "u.csv", "a,b", "1,2", "3,4,5", "6")
-    assert [tuple(r) for r in read_csv(spark, path).collect()] == [("1", "2"), ("3", "4"), ("6", None)]
+def test_uneven_rows_are_rejected_with_their_text(spark, tmp_path):
+    lines = [GOOD, GOOD + ",extra", "ORD-9,2024-01-05,Region 1", '"ORD-1,2024', GOOD + ","]
+    path = put(tmp_path / "u.csv", HEADER, *lines)
+    checked = quality.check(read_csv(spark, path), RULES["warehouse"])
+    assert [r.order_id for r in quality.passed(checked).collect()] == ["ORD-1"]
+    bad = quality.rejected(checked).collect()
+    assert [r.unreadable_record for r in bad] == lines[1:]
+    assert all(r.rejection_reason.startswith("unreadable_record") for r in bad)
+    assert quality.passed(checked).columns == list(WAREHOUSE_FEED)
     with pytest.raises(Exception, match="MALFORMED"):
         read_csv(spark, path, strict=True).collect()
 
 
+def test_lossy_values_of_accepted_rows_are_counted(spark, tmp_path):
+    rows = [GOOD, GOOD.replace(",2.8,", ",abc,"), GOOD.replace(",100,", ",12.7,"), "NA" + GOOD.replace(",2.8,", ",abc,")[5:]]
+    feed = read_csv(spark, put(tmp_path / "l.csv", HEADER, *rows))
+    checked = quality.check(feed, RULES["warehouse"])
+    counts = write_checked(checked, str(tmp_path / "checked"), lossy_values(feed, WAREHOUSE_FEED))
+    found = {k: n for k, n in counts.items() if k.startswith("lossy:") and n}
+    assert found == {"lossy:defect_rate_pct": 1, "lossy:units_processed": 1}
+
+
 def test_files_with_another_header_fail(spark, tmp_path):
     put(tmp_path / "d" / "a.csv", "a,b", "1,2")
     put(tmp_path / "d" / "b.csv", "b,a", "1,2")
@@ -131,7 +152,7 @@ def test_checked_rows_are_replaced_as_a_whole(spark, tmp_path):
     }
     back = read_checked(spark, out, first.schema)
     assert quality.passed(back).count() == 2
-    assert quality.rejected(back).columns == [*WAREHOUSE_FEED, "rejection_reason"]
+    assert quality.rejected(back).columns == [*WAREHOUSE_FEED, UNREADABLE, "rejection_reason"]
     assert sorted(map(str, quality.rejected(back).collect())) == sorted(
         map(str, quality.rejected(first).collect())
     )
@@ -163,13 +184,20 @@ def test_staging_output(spark, tmp_path):
 def test_replace_run_keeps_other_dates(spark, tmp_path):
     path = str(tmp_path / "fact")
     table = {"date_key": "int", "region_key": "int", "pipeline_run_date": "date"}
-    rows = [(20240101, 1, dt.date(2024, 7, d)) for d in (1, 2)]
-    replace_run(spark.createDataFrame(rows, ddl(table)), path, table)
+    one, two = dt.date(2024, 7, 1), dt.date(2024, 7, 2)
+    for day in (one, two):
+        replace_run(spark.createDataFrame([(20240101, 1, day)], ddl(table)), path, table, day)
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("*07-01/*.parquet")}
     day2 = read_table(spark, path, table).filter("pipeline_run_date = DATE '2024-07-02'")
-    replace_run(day2.unionAll(day2), path, table)
+    replace_run(day2.unionAll(day2), path, table, two)
     assert {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("*07-01/*.parquet")} == before
     assert read_table(spark, path, table).count() == 3
+    # A rerun without rows leaves none of the old ones.
+    replace_run(day2.limit(0), path, table, two)
+    assert [r.pipeline_run_date for r in read_table(spark, path, table).collect()] == [one]
+    with pytest.raises(Exception, match="another run date"):
+        replace_run(read_table(spark, path, table), path, table, two)
+    assert read_table(spark, path, table).count() == 1
 
 
 def test_open_table(spark, tmp_path):
@@ -188,7 +216,7 @@ def test_values_that_do_not_fit_raise(spark):
 
 
 def test_export(spark, tmp_path):
-    export_csv(spark.range(3), str(tmp_path / "log.csv"))
+    export_csv(spark.range(3).coalesce(1), str(tmp_path / "log.csv"))
     assert len(list((tmp_path / "log.csv").glob("*.csv"))) == 1
 
 
@@ -210,6 +238,10 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     per_half = rows.groupBy("landing_date", "rejected").agg(F.count(F.lit(1)).alias("n"))
     counts = {(str(r.landing_date), r.rejected): r.n for r in per_half.collect()}
     assert counts == {("2024-07-01", False): 3, ("2024-07-01", True): 4, ("2024-07-02", False): 1}
+    # A file that is far older than the others is read as well.
+    old = put(raw / "warehouse" / "2020/07/01" / "old.csv", HEADER, GOOD)
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    assert run().count() == rows.count() + 1
     batch = quality.check(read_csv(spark, put(tmp_path / "w.csv", HEADER, *ODD)), RULES["warehouse"])
     expected = sorted(r.rejection_reason for r in quality.rejected(batch).collect())
     assert sorted(r.rejection_reason for r in rows.filter("rejected").collect()) == expected

@@ -14,7 +14,6 @@ from tidewater.functions.numbers import ratio_pct
 from tidewater.schemas import AUDIT_LOG, ddl
 from tidewater.sources.tables import append_rows, open_table
 
-ERROR_LIMIT = 500
 # Lines of the trend report.
 REJECTION_ALERT_PCT = 2.0
 DURATION_TARGET_MIN = 12.0
@@ -42,7 +41,10 @@ class LogEntry:
 
 
 def log_frame(spark: SparkSession, entries: Sequence[LogEntry]) -> DataFrame:
-    """The run's log entries in the audit table's shape, not numbered yet."""
+    """The run's log entries in the audit table's shape, not numbered yet.
+
+    Error texts stay whole; the length audit reports those beyond the declared limit.
+    """
     rows = [
         (
             None,
@@ -62,12 +64,9 @@ def log_frame(spark: SparkSession, entries: Sequence[LogEntry]) -> DataFrame:
         for e in entries
     ]
     loose = ddl({**AUDIT_LOG, "rejection_rate_pct": "double", "duration_sec": "double"})
-    return spark.createDataFrame(rows, loose).withColumns(
-        {
-            "duration_sec": F.round("duration_sec", 2),
-            "error_message": F.left("error_message", F.lit(ERROR_LIMIT)),
-        }
-    )
+    # A handful of rows that the driver itself made, so one task has them all.
+    made = spark.createDataFrame(rows, loose).coalesce(1)
+    return made.withColumn("duration_sec", F.round("duration_sec", 2))
 
 
 def run_log(log: DataFrame) -> DataFrame:
@@ -153,14 +152,13 @@ def run_summary(audit: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def daily_trend(audit: DataFrame) -> DataFrame:
-    """Records in, rejection rate, minutes and the records out they imply, per run date."""
-    daily = audit.groupBy("run_date").agg(
+    """Records in and out, rejection rate and minutes per run date."""
+    return audit.groupBy("run_date").agg(
         F.coalesce(F.sum("records_in"), F.lit(0)).alias("records_in"),
         ratio_pct(F.sum("records_rejected"), F.sum("records_in")).alias("rejection_rate"),
         (F.coalesce(F.sum("duration_sec"), F.lit(0)).cast("double") / 60).alias("pipeline_min"),
+        F.coalesce(F.sum("records_out"), F.lit(0)).cast("bigint").alias("records_out"),
     )
-    kept = F.col("records_in") * (1 - F.col("rejection_rate") / 100)
-    return daily.withColumn("records_out", kept.cast("bigint"))
 
 
 def trend_summary(trend: DataFrame) -> DataFrame:

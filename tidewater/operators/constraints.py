@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import column
+from tidewater.schemas import MANDATORY, PRIMARY_KEYS, REFERENCES
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -59,3 +61,36 @@ def orphans(facts: DataFrame, references: dict[str, tuple[DataFrame, str]]) -> D
         part = dim.select(F.lit(k).alias("column_name"), F.col(dim_key).cast("bigint").alias("value"))
         known = part if known is None else known.unionByName(part)
     return used.join(known, ["column_name", "value"], "left_anti")
+
+
+def star_schema_faults(tables: dict[str, DataFrame]) -> DataFrame:
+    """Broken keys, mandatory columns and references of the given tables, by table name.
+
+    Rows (table_name, rule, column_name, records) with at least one record. A reference is
+    checked where both of its tables are given; null references are allowed.
+    """
+    parts = []
+
+    def add(table: str, rule: str, counts: DataFrame) -> None:
+        named = counts.filter("records > 0").select(
+            F.lit(table).alias("table_name"),
+            F.lit(rule).alias("rule"),
+            "column_name",
+            F.col("records").cast("bigint").alias("records"),
+        )
+        parts.append(named)
+
+    for table, key in PRIMARY_KEYS.items():
+        if table in tables:
+            copies = duplicate_keys(tables[table], [key]).agg(F.sum("copies").alias("records"))
+            add(table, "primary_key", copies.select(F.lit(key).alias("column_name"), "records"))
+            mandatory = [key, *MANDATORY.get(table, ())]
+            nulls = null_counts(tables[table], mandatory).withColumnRenamed("null_records", "records")
+            add(table, "not_null", nulls)
+    for fact, columns in REFERENCES.items():
+        held = {c: d for c, d in columns.items() if d in tables}
+        if fact in tables and held:
+            lost = orphans(tables[fact], {c: (tables[d], PRIMARY_KEYS[d]) for c, d in held.items()})
+            counts = lost.groupBy("column_name").agg(F.sum("records").alias("records"))
+            add(fact, "foreign_key", counts)
+    return reduce(DataFrame.unionByName, parts)

@@ -6,9 +6,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tidewater.functions.calendar import date_key, is_weekday, week_of_year
+from tidewater.operators.keys import kept_with_places
 
 # The default calendar span.
 CALENDAR_START = date(2020, 1, 1)
@@ -49,16 +49,21 @@ def date_dimension(
     return calendar_rows(bounds)
 
 
+def absent(existing: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
+    """The candidates whose key ``existing`` does not hold yet."""
+    return candidates.join(existing.select(key), key, "left_anti")
+
+
 def add_absent(existing: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """``existing`` plus the candidates whose key it does not hold yet."""
-    return existing.unionByName(candidates.join(existing.select(key), key, "left_anti"))
+    return existing.unionByName(absent(existing, candidates, key))
 
 
-def seed_members(existing: DataFrame, names: DataFrame, name: str, key: str) -> DataFrame:
-    """``existing`` plus a row for every new name, numbered on from the highest key.
+def new_members(existing: DataFrame, names: DataFrame, name: str, key: str) -> DataFrame:
+    """(key, name) of every name that ``existing`` lacks, numbered on from its highest key.
 
-    ``names`` may be a whole feed: it is reduced to distinct names in its own tasks first, so
-    only those few meet in the numbering window. Attributes other than the name stay null.
+    ``names`` may be a whole feed: it is reduced to distinct names in its own tasks first. The new
+    names are sorted and numbered where they are, however many there are.
     """
     fresh = (
         names.select(F.col(name))
@@ -67,11 +72,15 @@ def seed_members(existing: DataFrame, names: DataFrame, name: str, key: str) ->
         .join(existing.select(name), name, "left_anti")
     )
     highest = F.coalesce(existing.select(F.max(key).alias(key)).scalar(), F.lit(0))
-    numbered = fresh.select(
-        (highest + F.row_number().over(W.orderBy(name))).cast(existing.schema[key].dataType).alias(key),
-        name,
-    )
-    return existing.unionByName(numbered, allowMissingColumns=True)
+    numbered = kept_with_places(fresh.orderBy(name), "_place")
+    number = highest + F.col("_place") + 1
+    return numbered.select(number.cast(existing.schema[key].dataType).alias(key), name)
+
+
+def seed_members(existing: DataFrame, names: DataFrame, name: str, key: str) -> DataFrame:
+    """``existing`` plus a row for every new name; attributes other than the name stay null."""
+    fresh = new_members(existing, names, name, key)
+    return existing.unionByName(fresh, allowMissingColumns=True)
 
 
 def _comparable(c: Column, dim: str, ignore_case: bool) -> Column:

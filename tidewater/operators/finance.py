@@ -19,6 +19,21 @@ def finance_cells(accepted: DataFrame) -> DataFrame:
     )
 
 
+class UnknownSourceError(LookupError):
+    """The source dimension does not hold the finance feed."""
+
+
+def _resolved(
+    cells: DataFrame, dim_region: DataFrame, dim_cost_center: DataFrame, unit_regions: DataFrame
+) -> DataFrame:
+    """The cells with the keys that their names have, null where they have none."""
+    regions = unit_regions.join(dim_region, unit_regions["region"] == dim_region["region_name"])
+    centers = dim_cost_center.select("cost_center_key", F.col("cost_center_name").alias("cost_center"))
+    return cells.join(regions.select("business_unit", "region_key"), "business_unit", "left").join(
+        centers, "cost_center", "left"
+    )
+
+
 def finance_fact(
     cells: DataFrame,
     dim_region: DataFrame,
@@ -28,25 +43,47 @@ def finance_fact(
 ) -> DataFrame:
     """The cells with their dimension keys and the variance, actual minus budget.
 
-    ``unit_regions`` maps each business unit to a region name. A unit or cost centre that is not
-    mapped drops out, as in the operations load, and so does all when the source is unknown. The
-    finance feed has no revenue or cost of goods, so those measures are not set.
+    ``unit_regions`` maps each business unit to a region name. Cells without a region or cost
+    centre have no place in the fact table; ``finance_unmatched`` has them. The finance feed has
+    no revenue or cost of goods, so those measures are not set. Raises when the source dimension
+    does not hold the feed.
     """
-    regions = unit_regions.join(dim_region, unit_regions["region"] == dim_region["region_name"])
-    centers = dim_cost_center.select("cost_center_key", F.col("cost_center_name").alias("cost_center"))
-    source = dim_source.filter(F.col("source_name") == SOURCE).select("source_key").scalar()
+    sources = dim_source.filter(F.col("source_name") == SOURCE).select("source_key").head(1)
+    if not sources:
+        raise UnknownSourceError(f"dim_source does not hold {SOURCE!r}")
     return (
-        cells.join(regions.select("business_unit", "region_key"), "business_unit")
-        .join(centers, "cost_center")
+        _resolved(cells, dim_region, dim_cost_center, unit_regions)
+        .filter("region_key IS NOT NULL AND cost_center_key IS NOT NULL")
         .select(
             date_key(month_start(F.col("month"))).alias("date_key"),
             "region_key",
             "cost_center_key",
-            source.alias("source_key"),
+            F.lit(sources[0][0]).alias("source_key"),
             "budget_amount",
             "actual_amount",
             (F.col("actual_amount") - F.col("budget_amount")).alias("variance_amount"),
             F.lit(SOURCE).alias("record_source"),
         )
-        .filter("source_key IS NOT NULL")
+    )
+
+
+def finance_unmatched(
+    cells: DataFrame, dim_region: DataFrame, dim_cost_center: DataFrame, unit_regions: DataFrame
+) -> DataFrame:
+    """The cells that ``finance_fact`` leaves out, with their amounts and what has no key.
+
+    ``unmatched`` names the columns, blank-separated.
+    """
+    reasons = [
+        F.when(F.col("region_key").isNull(), F.lit("business_unit")),
+        F.when(F.col("cost_center_key").isNull(), F.lit("cost_center")),
+    ]
+    found = _resolved(cells, dim_region, dim_cost_center, unit_regions)
+    return found.filter("region_key IS NULL OR cost_center_key IS NULL").select(
+        "month",
+        "business_unit",
+        "cost_center",
+        "budget_amount",
+        "actual_amount",
+        F.concat_ws(" ", *reasons).alias("unmatched"),
     )

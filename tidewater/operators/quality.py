@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.numbers import column, number, ratio_pct
 from tidewater.operators.rules import RuleSet
+from tidewater.schemas import UNREADABLE
 
 
 class MissingColumnsError(ValueError):
@@ -20,7 +21,7 @@ def require_columns(df: DataFrame, rules: RuleSet) -> None:
     """Raise before any row is read when a required column is absent."""
     missing = [name for name in rules.required if name not in df.columns]
     if missing:
-        raise MissingColumnsError(f"Missing required columns: {missing}")
+        raise MissingColumnsError(f"The feed lacks required columns: {missing}")
 
 
 def _is_missing(df: DataFrame, name: str) -> Column:
@@ -35,10 +36,12 @@ def failed_rules(
 ) -> list[tuple[str, Column]]:
     """Reason text and never-null failure flag per rule; ``parsed`` holds the columns as numbers.
 
-    Rules on columns that the feed lacks are left out.
+    Rules on columns that the feed lacks are left out. A record that its reader could not parse
+    fails whatever its values are.
     """
     present = set(df.columns)
-    found = [(f"null:{c}", _is_missing(df, c)) for c in rules.non_null if c in present]
+    found = [(UNREADABLE, column(UNREADABLE).isNotNull())] if UNREADABLE in present else []
+    found += [(f"null:{c}", _is_missing(df, c)) for c in rules.non_null if c in present]
     found += [
         (f"non_positive:{c}", F.coalesce(parsed[c], F.lit(-1)) <= 0)
         for c in rules.positive
@@ -78,7 +81,7 @@ def check(df: DataFrame, rules: RuleSet, require: bool = True) -> DataFrame:
 
 def passed(checked: DataFrame) -> DataFrame:
     """Accepted rows with the feed's own columns."""
-    return checked.filter(~F.col("rejected")).drop("rejected", "rejection_reason")
+    return checked.filter(~F.col("rejected")).drop("rejected", "rejection_reason", UNREADABLE)
 
 
 def rejected(checked: DataFrame) -> DataFrame:

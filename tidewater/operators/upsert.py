@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidewater.operators.keys import kept_with_places
 from tidewater.sources.checkpoint import settled
 
+# The key that a load matches rows by.
 MERGE_KEY = ("date_key", "region_key", "shift_key", "pipeline_run_date")
-# Measures that an update overwrites; keys and lineage of the old row stay.
+# Measures that an update overwrites; keys and lineage of the old row stay.
 UPDATED = (
     "throughput_uph",
     "dock_delay_hrs",
@@ -23,54 +25,42 @@ UPDATED = (
     "cost_per_unit",
     "total_cost",
 )
-# Distinct target keys up to which a join side is broadcast: one row per key, well below 100 MB.
-BROADCAST_KEYS = 200_000
 REPEATED_KEY = "Upsert source repeats a key that the target holds"
 
-# A fact key is made of the run day, a row number and the task that numbered it.
+# A fact key is the run day, counted from here, above a row number of 48 bits.
 KEY_EPOCH = date(2000, 1, 1)
-TASK_BITS = 17
 DAY_SHIFT = 48
-OFFSET_BITS = 33  # width of the row counter inside monotonically_increasing_id
 
 
-def merge(
-    target: DataFrame,
-    source: DataFrame,
-    key: tuple[str, ...] = MERGE_KEY,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> DataFrame:
-    """All rows of ``target`` after the upsert, plus ``action``: insert, update or keep.
+def merge(target: DataFrame, source: DataFrame, key: tuple[str, ...] = MERGE_KEY) -> DataFrame:
+    """All rows of ``target`` after the upsert, plus ``action`` and ``insert_no``.
 
     A source row whose key the target holds updates every target row of that key; all others
-    are inserted, every copy of them. Null keys match nothing. A key that the target holds and
-    the source repeats makes the job fail before anything is committed.
-
-    The target's keys are reduced to distinct ones before they meet the source, and the source's
-    matching rows to one per key before they meet the target. So each join has a side without
-    repeats and with no more rows than the target has keys. The keys are counted first: up to
-    ``broadcast_keys`` of them that side is broadcast and neither table is shuffled. Beyond, the
-    reduced side is kept and the joins shuffle; Spark then splits a hot key of the other side at
-    run time. It could not do so in a full outer join, nor if the reduced side were still being
-    aggregated in the join's own stage.
+    are inserted, every copy of them, and numbered in ``insert_no`` (unique, with gaps). Null keys
+    match nothing. A key that the target holds and the source repeats is an error, raised here.
+
+    One path for any size. The target's keys are reduced to distinct ones, and the source, marked
+    by them, is computed once and kept; its matching rows are reduced to one per key. So each join
+    has a side without repeats that is kept before, and Spark broadcasts it if it is small or else
+    splits a hot key of the other side. It could not do so in a full outer join, nor if the
+    reduced side were still being aggregated in the join's own stage.
     """
     source = source.select(*[c for c in target.columns if c in source.columns])
     updated = [c for c in UPDATED if c in source.columns]
-    held = target.select(*key).dropna().distinct()
-    small = held.count() <= broadcast_keys
-    held = F.broadcast(held) if small else settled(held)
-    inserts = source.join(held, list(key), "left_anti").withColumn("action", F.lit("insert"))
+    held = settled(target.select(*key).dropna().distinct().withColumn("_held", F.lit(True)))
+    marked = kept_with_places(source.join(held, list(key), "left"), "insert_no")
+    fresh = marked.filter(F.col("_held").isNull()).drop("_held")
+    inserts = fresh.withColumn("action", F.lit("insert"))
 
     message = F.concat(F.lit(REPEATED_KEY + ": "), F.to_json(F.struct(*key)))
     hits = (
-        source.join(held, list(key), "left_semi")
+        marked.filter(F.col("_held"))
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(f"_new_{c}") for c in updated])
         .filter(F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
     )
-    hits = F.broadcast(hits) if small else settled(hits)
     hit = F.col("_copies").isNotNull()
-    merged = target.join(hits, list(key), "left").select(
+    merged = target.join(settled(hits), list(key), "left").select(
         *[
             F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c)
             for c in target.columns
@@ -110,32 +100,24 @@ def keep_one(rows: DataFrame, key: tuple[str, ...], order: list[Column]) -> Data
     return rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
-def new_fact_keys(run_date: date, held: Column) -> Column:
-    """Unique keys for the rows that one run inserts; gaps are normal.
+def new_fact_keys(run_date: date, held: Column, place: Column) -> Column:
+    """Unique keys for the rows that one run inserts, ``place`` being unique among them.
 
     The run day leads, so keys of different days never meet and only the run's own partition has
-    to be asked for the keys ``held`` so far (null when there are none): no pass over the whole
-    table. Below the day come a row counter, which continues after the highest counter held,
-    and the number of the numbering task. Expects fewer than 2^17 tasks, and raises beyond.
+    to be asked for the highest key ``held`` so far (null when there is none): no pass over the
+    whole table. Numbers go on from it; gaps are normal.
     """
-    task = F.spark_partition_id().cast("bigint")
-    counter = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
-    within_day = held.bitwiseAND(F.lit((1 << DAY_SHIFT) - 1))
-    start = F.coalesce(F.shiftright(within_day, TASK_BITS) + 1, F.lit(0).cast("bigint"))
-    day = (run_date - KEY_EPOCH).days << DAY_SHIFT
-    key = F.lit(day) + (start + counter) * (1 << TASK_BITS) + task
-    too_many = F.raise_error("Too many tasks number the inserted rows").cast("bigint")
-    return F.when(task < (1 << TASK_BITS), key).otherwise(too_many)
+    start = F.coalesce(held.bitwiseAND(F.lit((1 << DAY_SHIFT) - 1)) + 1, F.lit(0).cast("bigint"))
+    return F.lit((run_date - KEY_EPOCH).days << DAY_SHIFT) + start + place
 
 
 def with_fact_keys(merged: DataFrame, target: DataFrame, run_date: date) -> DataFrame:
     """Number the inserted rows of ``merge``; updated and kept rows keep their keys.
 
-    ``target`` is the run's partition. Write the result straight away: each task's keys are
-    then committed with its rows, whatever is retried.
+    ``target`` is the run's partition.
     """
     held = target.select(F.max("fact_key").alias("held")).scalar()
-    fresh = new_fact_keys(run_date, held)
+    fresh = new_fact_keys(run_date, held, F.col("insert_no"))
     return merged.withColumn(
         "fact_key", F.when(F.col("action") == "insert", fresh).otherwise(F.col("fact_key"))
     )

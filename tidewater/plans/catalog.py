@@ -8,17 +8,29 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tidewater.functions.text import markers_to_null
 from tidewater.operators import audit, constraints, dimensions, finance, measures, quality, upsert
+from tidewater.operators.enrich import enrich_warehouse
 from tidewater.operators.rules import RULES, RuleSet
+from tidewater.operators.upsert import MERGE_KEY
 from tidewater.plans import derived as d
-from tidewater.schemas import STAGING_OPERATIONS, conform, text_limits
+from tidewater.schemas import (
+    PRIMARY_KEYS,
+    REFERENCES,
+    STAGING_OPERATIONS,
+    WAREHOUSE_FEED,
+    conform,
+    text_limits,
+)
 from tidewater.sources.checkpoint import settled
+from tidewater.sources.readers import lossy_values, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = date(2024, 6, 30)
+READER = "NATION_3"
 
 
 def _plain(df: DataFrame, places: int | None = None) -> DataFrame:
@@ -70,13 +82,28 @@ def qc_text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check(feed, RULES["warehouse"], require=False)
 
 
+def text_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text dates and numbers through check, cast and enrichment."""
+    feed = markers_to_null(d.warehouse_text_feed(spark, sf_dir))
+    accepted = quality.passed(quality.check(feed, RULES["warehouse"]))
+    return _plain(enrich_warehouse(typed(accepted, WAREHOUSE_FEED)))
+
+
+def text_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted values per column that hold more than their type keeps."""
+    feed = markers_to_null(d.warehouse_text_feed(spark, sf_dir))
+    accepted = quality.passed(quality.check(feed, RULES["warehouse"]))
+    flags = lossy_values(accepted, WAREHOUSE_FEED)
+    counts = accepted.agg(*[F.count_if(flag).alias(c) for c, flag in flags.items()])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("records")) for c in flags])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
 def audit_varchar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Order ids exceed the declared 20 characters only in far larger tables; 10 is exceeded here.
-    limits = {**text_limits(STAGING_OPERATIONS), "order_id": 10}
-    return constraints.too_long(d.accepted_warehouse(spark, sf_dir), limits)
+    return constraints.too_long(d.accepted_warehouse(spark, sf_dir), text_limits(STAGING_OPERATIONS))
 
 
-def enrich_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(d.accepted_warehouse(spark, sf_dir))
 
 
@@ -118,52 +145,95 @@ def unmatched_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.unmatched_names(d.staging(spark, sf_dir), d.dimension_tables(spark, sf_dir))
 
 
-def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = d.operations_source(spark, sf_dir)
-    return upsert.merge(d.operations_target(source), source)
+def load_ops_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staged rows, none of which the dimensions lack."""
+    return _plain(d.all_operations(spark, sf_dir))
+
+
+def _load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The target and its rows after the load of every staged row."""
+    rows = settled(d.all_operations(spark, sf_dir).drop("order_id"))
+    target = d.operations_target(rows)
+    return target, upsert.merge(target, d.operations_source(rows))
 
 
 def upsert_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_merged(spark, sf_dir))
+    return _plain(_load(spark, sf_dir)[1].drop("insert_no"))
 
 
 def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(upsert.action_counts(_merged(spark, sf_dir)))
+    return _plain(upsert.action_counts(_load(spark, sf_dir)[1]))
 
 
 def load_ops_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.records_loaded(_merged(spark, sf_dir))
+    return upsert.records_loaded(_load(spark, sf_dir)[1])
+
+
+def load_fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts per run date and action, their distinct keys, and those beyond the keys held before."""
+    target, merged = _load(spark, sf_dir)
+    place = F.row_number().over(W.partitionBy("pipeline_run_date").orderBy("date_key", "region_key", "shift_key"))
+    held = target.select(
+        *[c for c in MERGE_KEY], (F.lit(1000) + place).cast("bigint").alias("old_key")
+    )
+    run = held.filter(F.col("pipeline_run_date") == F.lit(d.RUN_DATE)).select(
+        F.expr(f"{(d.RUN_DATE - upsert.KEY_EPOCH).days << upsert.DAY_SHIFT}L + old_key").alias("fact_key")
+    )
+    highest = run.agg(F.max("fact_key")).first()[0]
+    numbered = upsert.with_fact_keys(
+        merged.join(held, list(MERGE_KEY), "left").withColumnRenamed("old_key", "fact_key"),
+        run,
+        d.RUN_DATE,
+    )
+    return numbered.groupBy("pipeline_run_date", "action").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("fact_key").alias("distinct_keys"),
+        F.count_if(F.col("fact_key") > highest).alias("new_keys"),
+    )
 
 
 def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every staged order against a table that holds a third of the keys."""
-    target = d.operations_target(d.operations_source(spark, sf_dir))
-    return upsert.repeated_keys(target, d.resolved_operations(spark, sf_dir))
+    keys = settled(d.all_operations(spark, sf_dir).select(*MERGE_KEY))
+    return upsert.repeated_keys(d.operations_target(keys), keys)
 
 
 def audit_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dims = d.dimension_tables(spark, sf_dir)
-    references = {
-        "date_key": (dims["dim_date"], "date_key"),
-        "region_key": (dims["dim_region"], "region_key"),
-        "shift_key": (dims["dim_shift"], "shift_key"),
-        "source_key": (dims["dim_source"], "source_key"),
-    }
-    return constraints.orphans(d.fact_keys(spark, sf_dir), references)
+    tables = d.star_tables(spark, sf_dir)
+    references = REFERENCES["fact_operations"]
+    return constraints.orphans(
+        tables["fact_operations"], {c: (tables[dim], PRIMARY_KEYS[dim]) for c, dim in references.items()}
+    )
 
 
-def finance_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Business units are region names here, so each unit maps to its own region."""
+def audit_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.star_schema_faults(d.star_tables(spark, sf_dir))
+
+
+def _finance(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """Cells, dimensions and the mapping of units; units are region names here, one not held."""
     dims = d.dimension_tables(spark, sf_dir)
     cells = settled(finance.finance_cells(d.accepted_finance(spark, sf_dir)))
     none = conform(spark.range(0), {"cost_center_key": "int", "cost_center_name": "string"})
     names = cells.select(F.col("cost_center").alias("cost_center_name"))
-    centers = dimensions.seed_members(none, names, "cost_center_name", "cost_center_key")
+    dims["dim_cost_center"] = dimensions.seed_members(none, names, "cost_center_name", "cost_center_key")
     units = d.table(spark, sf_dir, "region").select(
         F.col("r_name").alias("business_unit"), F.col("r_name").alias("region")
     )
+    return cells, dims, units
+
+
+def finance_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells, dims, units = _finance(spark, sf_dir)
+    return _plain(finance.finance_unmatched(cells, dims["dim_region"], dims["dim_cost_center"], units))
+
+
+def finance_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells, dims, units = _finance(spark, sf_dir)
     return _plain(
-        finance.finance_fact(cells, dims["dim_region"], centers, dims["dim_source"], units)
+        finance.finance_fact(
+            cells, dims["dim_region"], dims["dim_cost_center"], dims["dim_source"], units
+        )
     )
 
 
@@ -207,7 +277,7 @@ def regional_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The operations report as one reader sees it."""
     grants = d.reader_grants(spark, sf_dir)
-    rows = measures.visible_to(_operations(spark, sf_dir), grants, "FRANCE")
+    rows = measures.visible_to(_operations(spark, sf_dir), grants, READER)
     return _plain(measures.regional_performance(rows, by=["region", "shift"]), 6)
 
 
@@ -226,7 +296,9 @@ QUERIES: dict[str, Query] = {
     "qc_text_feed": qc_text_feed,
     "audit_varchar": audit_varchar,
     # Enrichment and staging
-    "enrich_warehouse": enrich_warehouse,
+    "enrich_warehouse": enriched,
+    "text_chain": text_chain,
+    "text_lossy": text_lossy,
     "enrich_finance": lambda s, p: d.accepted_finance(s, p),
     "dock_category_counts": dock_category_counts,
     "stage_ops": stage_ops,
@@ -237,15 +309,19 @@ QUERIES: dict[str, Query] = {
     "dim_region_seed": dim_region_seed,
     # Load
     "load_ops_source": load_ops_source,
+    "load_ops_all": load_ops_all,
     "unmatched_dims": unmatched_dims,
     "upsert_ops": upsert_ops,
     "upsert_actions": upsert_actions,
     "load_ops_count": load_ops_count,
+    "load_fact_keys": load_fact_keys,
     "merge_conflicts": merge_conflicts,
     "finance_fact": finance_fact,
+    "finance_unmatched": finance_unmatched,
     # Constraint audits
     "audit_pk": lambda s, p: constraints.duplicate_keys(d.warehouse_feed(s, p), ["order_id"]),
     "audit_fk": audit_fk,
+    "audit_star": audit_star,
     "audit_not_null": lambda s, p: constraints.null_counts(
         d.warehouse_feed(s, p), d.warehouse_feed(s, p).columns
     ),

@@ -13,8 +13,8 @@ from tidewater.operators import quality
 from tidewater.operators.audit import LogEntry, append_log, log_frame, run_log, run_summary
 from tidewater.operators.enrich import EnrichConfig, enrich_finance, enrich_warehouse
 from tidewater.operators.rules import rules_for
-from tidewater.schemas import FINANCE_FEED, WAREHOUSE_FEED
-from tidewater.sources.readers import read_csv, read_json, typed
+from tidewater.schemas import FINANCE_FEED, WAREHOUSE_FEED, Table
+from tidewater.sources.readers import lossy_values, read_csv, read_json, typed
 from tidewater.sources.tables import checked_dir, export_csv, read_checked, write_checked
 
 
@@ -27,7 +27,7 @@ class DailyPaths:
     staging: str
     warehouse: str
     run_logs: str | None = None
-    finance_is_array: bool = True
+    finance_is_array: bool = False
 
     @property
     def audit(self) -> str:
@@ -84,17 +84,24 @@ def run_daily(
                 counts.get("records_out", 0),
                 counts.get("records_rejected", 0),
                 time.monotonic() - start,
+                lossy(counts),
                 source_system=source,
             )
         )
         return result
 
-    def check_and_write(raw: DataFrame, source: str) -> tuple[dict, DataFrame]:
+    def check_and_write(raw: DataFrame, source: str, feed: Table) -> tuple[dict, DataFrame]:
         checked = quality.check(raw, rules_for(source))
         target = checked_dir(paths.staging, source, run_date)
-        counts = write_checked(checked, target)
+        counts = write_checked(checked, target, lossy_values(raw, feed))
         return counts, read_checked(spark, target, checked.schema)
 
+    def lossy(counts: dict) -> str | None:
+        """What the log says of accepted values that their column's type cannot hold."""
+        found = {k.removeprefix("lossy:"): n for k, n in counts.items() if k.startswith("lossy:") and n}
+        told = ", ".join(f"{name} {n}" for name, n in found.items())
+        return f"Accepted values that do not fit their type: {told}" if told else None
+
     try:
         warehouse = step(
             "Transform: Warehouse CSV",
@@ -113,12 +120,12 @@ def run_daily(
             "warehouse": step(
                 "Quality Check: Warehouse",
                 "warehouse_csv",
-                lambda: check_and_write(warehouse, "warehouse"),
+                lambda: check_and_write(warehouse, "warehouse", WAREHOUSE_FEED),
             ),
             "finance": step(
                 "Quality Check: Finance",
                 "finance_json",
-                lambda: check_and_write(finance, "finance"),
+                lambda: check_and_write(finance, "finance", FINANCE_FEED),
             ),
         }
     finally:

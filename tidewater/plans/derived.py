@@ -6,22 +6,38 @@ fault that the rules look for. The oracle queries hold the same views as SQL tex
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.calendar import date_key
 from tidewater.operators import quality
-from tidewater.operators.dimensions import calendar_rows, resolve_operations
+from tidewater.operators.dimensions import calendar_rows, date_dimension, resolve_operations
 from tidewater.operators.enrich import enrich_finance, enrich_warehouse
 from tidewater.operators.rules import RULES
-from tidewater.operators.upsert import keep_one
+from tidewater.operators.upsert import MERGE_KEY, keep_one
 from tidewater.plans.load import stage_operations
-from tidewater.sources.checkpoint import settled
 
 RUN_DATE = date(2024, 7, 1)
 OLDER_RUN = date(2024, 6, 30)
+# First and last day that the warehouse feed can have.
+FIRST_DAY = date(2024, 1, 1)
+LAST_DAY = FIRST_DAY + timedelta(181)
+# Keys that the target holds for the run.
+HELD_KEYS = "date_key % 3 = 0"
+OLD_FACT = (
+    "4 AS source_key",
+    "CAST(1 AS DECIMAL(8,2)) AS throughput_uph",
+    "CAST(0.01 AS DECIMAL(8,2)) AS dock_delay_hrs",
+    "CAST(77.5 AS DECIMAL(6,2)) AS defect_rate_pct",
+    "CAST(1.5 AS DECIMAL(6,2)) AS inventory_accuracy_pct",
+    "CAST(99.5 AS DECIMAL(8,2)) AS sla_hours",
+    "CAST(NULL AS BOOLEAN) AS sla_met",
+    "1 AS units_processed",
+    "CAST(0.01 AS DECIMAL(8,2)) AS cost_per_unit",
+    "'legacy' AS record_source",
+    "CAST(0.01 AS DECIMAL(12,2)) AS total_cost",
+)
 
 
 # Types of the given tables' columns that the views read. Declared, so that opening a table
@@ -64,14 +80,23 @@ WAREHOUSE_TEXT_COLUMNS = (
     " ELSE concat('ORD-', l_orderkey, '-', l_linenumber) END AS order_id",
     "CAST(date_add(DATE '2024-01-01', CAST(l_orderkey % 182 AS INT)) AS STRING) AS order_date",
     "CASE WHEN l_orderkey % 101 = 0 THEN '' ELSE r_name END AS region",
+    "CASE WHEN l_linenumber % 2 = 1 THEN 'Day' ELSE 'Night' END AS shift",
     "CASE WHEN l_orderkey % 53 = 0 THEN '1d' WHEN l_orderkey % 59 = 0 THEN 'n/a'"
     " WHEN l_orderkey % 61 = 0 THEN 'abc' WHEN l_orderkey % 67 = 0 THEN ' 1.2e2 '"
     " ELSE CAST(80 + l_partkey % 71 AS STRING) END AS throughput_uph",
+    "CASE WHEN l_partkey % 97 = 0 THEN '60' WHEN l_partkey % 91 = 0 THEN 'late'"
+    " ELSE CAST((l_quantity - 1) / 8 AS STRING) END AS dock_delay_hrs",
     "CASE WHEN l_orderkey % 31 = 0 THEN 'inf' WHEN l_orderkey % 37 = 0 THEN 'abc'"
     " WHEN l_orderkey % 41 = 0 THEN '1e400' WHEN l_orderkey % 43 = 0 THEN '-0.5'"
     " ELSE CAST(CAST(rint(l_discount * 100) AS INT) AS STRING) END AS defect_rate_pct",
+    "CASE WHEN l_partkey % 89 = 0 THEN 'NA' WHEN l_partkey % 83 = 0 THEN '120'"
+    " ELSE CAST(CAST(100 - rint(l_tax * 100) AS INT) AS STRING) END AS inventory_accuracy_pct",
+    "CASE WHEN l_suppkey % 37 = 0 THEN 'n/a' WHEN l_suppkey % 43 = 0 THEN 'soon'"
+    " ELSE CAST(12 + l_quantity / 2 AS STRING) END AS sla_hours",
     "CASE WHEN l_partkey % 101 = 0 THEN '0' WHEN l_partkey % 103 = 0 THEN '<NA>'"
+    " WHEN l_partkey % 107 = 0 THEN concat(CAST(l_quantity AS INT) * 9, '.7')"
     " ELSE CAST(CAST(l_quantity AS INT) * 9 AS STRING) END AS units_processed",
+    "CAST(CAST(300 + l_partkey % 300 AS DOUBLE) / 100 AS STRING) AS cost_per_unit",
 )
 
 RECORD_SOURCE = (
@@ -159,11 +184,8 @@ def accepted_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(accepted_warehouse(spark, sf_dir))
-
-
-def _staged(accepted: DataFrame) -> DataFrame:
     """Staging rows as if some had come by other ways, one of them unknown to the dimension."""
+    accepted = accepted_warehouse(spark, sf_dir)
     return stage_operations(accepted.withColumn("record_source", F.expr(RECORD_SOURCE)))
 
 
@@ -175,15 +197,6 @@ def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar from the first to the last day of the warehouse feed."""
-    day = F.expr("date_add(DATE '2024-01-01', CAST(l_orderkey % 182 AS INT))")
-    bounds = table(spark, sf_dir, "lineitem").agg(
-        F.min(day).alias("first_day"), F.max(day).alias("last_day")
-    )
-    return calendar_rows(bounds)
-
-
 def sales_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar from the first to the last order date; it spans several years."""
     day = F.col("o_orderdate").cast("date")
@@ -193,44 +206,62 @@ def sales_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_rows(bounds)
 
 
+def _named(spark: SparkSession, rows: str, columns: str) -> DataFrame:
+    """Literal rows, so that Spark knows how small they are."""
+    return spark.sql(f"SELECT * FROM VALUES {rows} t({columns})")
+
+
 def dimension_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    # Literal rows, so that Spark knows how small they are.
-    shifts = spark.sql("SELECT * FROM VALUES (1, 'Day'), (2, 'Night') t(shift_key, shift_name)")
-    sources = spark.sql(
-        "SELECT * FROM VALUES (1, 'warehouse_csv'), (2, 'finance_json'), (3, 'api')"
-        " t(source_key, source_name)"
-    )
+    """Dimensions that lack a region and a source, so that lookups have rows to report."""
+    sources = "(1, 'warehouse_csv'), (2, 'finance_json'), (3, 'api')"
     return {
-        "dim_date": order_calendar(spark, sf_dir),
+        "dim_date": date_dimension(spark, FIRST_DAY, LAST_DAY),
         "dim_region": dim_region(spark, sf_dir),
-        "dim_shift": shifts,
-        "dim_source": sources,
+        "dim_shift": _named(spark, "(1, 'Day'), (2, 'Night')", "shift_key, shift_name"),
+        "dim_source": _named(spark, sources, "source_key, source_name"),
+    }
+
+
+def complete_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dimensions that hold every name of the feed."""
+    regions = table(spark, sf_dir, "region")
+    sources = "(1, 'warehouse_csv'), (2, 'finance_json'), (3, 'api'), (4, 'upload')"
+    return dimension_tables(spark, sf_dir) | {
+        "dim_region": regions.selectExpr("r_regionkey + 1 AS region_key", "r_name AS region_name"),
+        "dim_source": _named(spark, sources, "source_key, source_name"),
     }
 
 
 def resolved_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every staged row with its dimension keys, for one run date."""
+    """The staged rows that the incomplete dimensions know, with their keys, for one run date."""
     dims = dimension_tables(spark, sf_dir)
     return resolve_operations(staging(spark, sf_dir), dims, RUN_DATE)
 
 
-def operations_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One staged row per merge key, resolved. Kept, because the upsert reads it several times."""
-    rows = quality.passed(checked_warehouse(spark, sf_dir))
-    key = ("order_date", "region", "shift")
-    order = [F.asc_nulls_last(c) for c in rows.columns if c not in key]
-    staged = _staged(enrich_warehouse(keep_one(rows, key, order)))
-    resolved = resolve_operations(staged, dimension_tables(spark, sf_dir), RUN_DATE)
-    return settled(resolved.drop("order_id"))
+def all_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every staged row with its dimension keys, for one run date."""
+    dims = complete_dimensions(spark, sf_dir)
+    return resolve_operations(staging(spark, sf_dir), dims, RUN_DATE)
+
+
+def operations_source(rows: DataFrame) -> DataFrame:
+    """A load's rows: one per key that the target holds, and every copy of all other keys."""
+    held = F.expr(HELD_KEYS)
+    order = [F.asc_nulls_last(c) for c in rows.columns if c not in MERGE_KEY]
+    return rows.filter(~held).unionByName(keep_one(rows.filter(held), MERGE_KEY, order))
 
 
-def operations_target(source: DataFrame) -> DataFrame:
-    """Fact rows that exist before the load: a third of the run's keys and some of an older run."""
-    same_run = source.filter("date_key % 3 = 0").withColumn(
-        "throughput_uph", (F.col("throughput_uph") - 1).cast("decimal(8,2)")
+def operations_target(rows: DataFrame) -> DataFrame:
+    """Facts from before the load: of a third of the days for this run, of a fifth for an older one.
+
+    Source, lineage and all measures differ from what the load brings.
+    """
+    keys = rows.select(*MERGE_KEY).distinct()
+    older = keys.filter("date_key % 5 = 0").withColumn("pipeline_run_date", F.lit(OLDER_RUN))
+    held = keys.filter(HELD_KEYS).unionByName(older)
+    return held.select(
+        "date_key", "region_key", "shift_key", *[F.expr(c) for c in OLD_FACT], "pipeline_run_date"
     )
-    older = source.filter("date_key % 5 = 0").withColumn("pipeline_run_date", F.lit(OLDER_RUN))
-    return same_run.unionByName(older)
 
 
 def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,17 +275,24 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operations.unionByName(finance)
 
 
-def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension keys of accepted rows, as a load without the inner joins would leave them."""
-    regions = table(spark, sf_dir, "region")
-    rows = accepted_warehouse(spark, sf_dir)
-    keyed = rows.join(regions, rows["region"] == regions["r_name"], "left")
-    return keyed.select(
-        date_key(F.col("order_date")).alias("date_key"),
-        (F.col("r_regionkey") + 1).alias("region_key"),
-        F.when(F.col("shift") == "Day", 1).when(F.col("shift") == "Night", 2).alias("shift_key"),
-        F.lit(1).alias("source_key"),
-    )
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A loaded star schema with faults of every kind: loaded without lookups or checks.
+
+    Facts are numbered by their order, so lines of one order share a key; the dimensions lack a
+    region, a source and the last days, and a shift has no name.
+    """
+    dims = dimension_tables(spark, sf_dir)
+    known = complete_dimensions(spark, sf_dir)
+    facts = resolve_operations(staging(spark, sf_dir), known, RUN_DATE)
+    return {
+        "dim_date": date_dimension(spark, FIRST_DAY, LAST_DAY - timedelta(30)),
+        "dim_region": dims["dim_region"],
+        "dim_shift": _named(spark, "(1, 'Day'), (2, NULL)", "shift_key, shift_name"),
+        "dim_source": dims["dim_source"],
+        "fact_operations": facts.withColumn(
+            "fact_key", F.expr("CAST(split_part(order_id, '-', 2) AS BIGINT)")
+        ),
+    }
 
 
 def reader_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,5 +300,3 @@ def reader_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regions_of(spark, sf_dir).select(
         F.col("n_name").alias("reader"), F.col("r_name").alias("region")
     )
-
-

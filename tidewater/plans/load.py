@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import money
-from tidewater.operators import dimensions, finance, upsert
+from tidewater.operators import constraints, dimensions, finance, upsert
 from tidewater.operators.audit import LogEntry, append_log
+from tidewater.operators.keys import kept_with_places
 from tidewater.schemas import (
     AUDIT_LOG,
     DIM_COST_CENTER,
@@ -26,10 +28,10 @@ from tidewater.schemas import (
 from tidewater.sources.checkpoint import settled
 from tidewater.sources.readers import read_csv
 from tidewater.sources.tables import (
+    append_rows,
     open_table,
     read_table,
     replace_run,
-    replace_table,
     write_staging,
 )
 
@@ -53,6 +55,7 @@ SEEDED = (
 
 # Fixed value: the step name that audit reports know the operations load by.
 LOAD_STEP = "usp_load_fact_operations"
+FINANCE_STEP = "Load: Finance"
 
 
 class RepeatedKeyError(RuntimeError):
@@ -77,48 +80,48 @@ def create_star_schema(spark: SparkSession, root: str) -> None:
     open_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG)
 
 
-def _rewrite(spark: SparkSession, rows: DataFrame, root: str, name: str, table: Table) -> None:
-    """Replace a dimension by rows that were built from it."""
-    # The new version is read from its own directory, so it does not depend on what it replaces.
-    fresh = f"{root}/_{name}_next"
-    replace_table(rows, fresh, table)
-    replace_table(read_table(spark, fresh, table), f"{root}/{name}", table)
-
-
 def populate_dim_date(
     spark: SparkSession,
     root: str,
     start: date = dimensions.CALENDAR_START,
     end: date = dimensions.CALENDAR_END,
 ) -> DataFrame:
-    """Add the days that the calendar table lacks; returns how many days it then holds."""
+    """Append the days that the calendar table lacks; returns how many days it then holds."""
     existing = open_table(spark, f"{root}/dim_date", DIM_DATE)
     days = dimensions.date_dimension(spark, start, end)
-    _rewrite(spark, dimensions.add_absent(existing, days, "date_key"), root, "dim_date", DIM_DATE)
+    fresh = settled(dimensions.absent(existing, days, "date_key"))
+    if not fresh.isEmpty():
+        append_rows(fresh, f"{root}/dim_date", DIM_DATE)
     held = read_table(spark, f"{root}/dim_date", DIM_DATE)
     return held.agg(F.count(F.lit(1)).alias("dates_populated"))
 
 
+def _seed(spark: SparkSession, root: str, dim: str, name: str, key: str, names: DataFrame) -> None:
+    """Append the members that a dimension lacks. Rows that it holds are never written again."""
+    table = DIMENSIONS[dim]
+    existing = open_table(spark, f"{root}/{dim}", table)
+    fresh = dimensions.new_members(existing, names, name, key)
+    if not fresh.isEmpty():
+        append_rows(fresh, f"{root}/{dim}", table)
+
+
 def seed_dimensions(spark: SparkSession, staging_path: str, root: str) -> None:
     """Add regions, shifts and sources that staging names and the dimensions lack."""
     columns = [column for *_, column in SEEDED]
     # Few combinations, found in one pass over three columns.
     combos = settled(read_table(spark, staging_path, STAGED).select(*columns).distinct())
     for dim, name, key, column in SEEDED:
-        table = DIMENSIONS[dim]
-        names = combos.select(F.col(column).alias(name))
-        existing = open_table(spark, f"{root}/{dim}", table)
-        seeded = dimensions.seed_members(existing, names, name, key)
-        _rewrite(spark, seeded, root, dim, table)
+        _seed(spark, root, dim, name, key, combos.select(F.col(column).alias(name)))
 
 
 def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
     """A clean CSV that holds the staging columns, header skipped and values cast.
 
-    A value that does not fit its column's type fails the read. Columns that staging does not
+    A row of another length than the header, or a value that does not fit its column's type, fails
+    the read. Columns that staging does not
     have are left out, and the cost is computed here again.
     """
-    return stage_operations(read_csv(spark, path))
+    return stage_operations(read_csv(spark, path, strict=True))
 
 
 def write_operations_staging(accepted: DataFrame, path: str) -> None:
@@ -142,44 +145,63 @@ def load_operations(
     loads only the row with the highest order id of each key. Without ``run_date`` the run
     counts for the day of ``run_ts``.
     """
+    if repeats not in ("fail", "latest"):
+        raise ValueError(f"repeats must be 'fail' or 'latest', not {repeats!r}")
     run_date = run_date or run_ts.date()
     path = f"{root}/fact_operations"
-    target = open_table(spark, path, FACT_OPERATIONS, RUN_PARTITION)
-    target = target.filter(F.col("pipeline_run_date") == F.lit(run_date))
-    staging = read_table(spark, staging_path, STAGED)
-
-    dims = read_dimensions(spark, root)
-    source = dimensions.resolve_operations(staging, dims, run_date, ignore_case)
-    if repeats == "latest":
-        source = latest_per_key(source)
-    elif repeats != "fail":
-        raise ValueError(f"repeats must be 'fail' or 'latest', not {repeats!r}")
 
-    seen = Observation()
-    try:
+    def work() -> int:
+        target = open_table(spark, path, FACT_OPERATIONS, RUN_PARTITION)
+        target = target.filter(F.col("pipeline_run_date") == F.lit(run_date))
+        staging = read_table(spark, staging_path, STAGED)
+        dims = read_dimensions(spark, root)
+        source = dimensions.resolve_operations(staging, dims, run_date, ignore_case)
+        if repeats == "latest":
+            source = latest_per_key(source)
+        seen = Observation()
         merged = upsert.with_fact_keys(upsert.merge(target, source), target, run_date)
         counted = upsert.stamped(merged, run_ts).observe(
             seen, F.count_if(F.col("action") != "keep").alias("records_loaded")
         )
-        replace_run(counted, path, FACT_OPERATIONS)
+        replace_run(counted, path, FACT_OPERATIONS, run_date)
+        return seen.get["records_loaded"]
+
+    try:
+        loaded = _logged(spark, root, run_date, run_ts, LOAD_STEP, "warehouse_csv", work)
     except Exception as e:
         # A task's error reaches the driver as whatever wraps it, so it is known by its text.
         if upsert.REPEATED_KEY in str(e):
             raise RepeatedKeyError(f"{upsert.REPEATED_KEY}, run date {run_date}") from e
         raise
-    loaded = seen.get["records_loaded"]
-    entry = LogEntry(
-        run_date,
-        run_ts,
-        LOAD_STEP,
-        "SUCCESS",
-        records_out=loaded,
-        source_system="warehouse_csv",
-    )
-    append_log(spark, [entry], f"{root}/pipeline_audit_log")
     return spark.createDataFrame([(loaded,)], "records_loaded bigint")
 
 
+def _logged(
+    spark: SparkSession,
+    root: str,
+    run_date: date,
+    run_ts: datetime,
+    step: str,
+    source: str,
+    work: Callable[[], int],
+) -> int:
+    """Run a load step and log its outcome, a failure too; returns the rows that it loaded."""
+
+    def log(status: str, loaded: int | None = None, error: str | None = None) -> None:
+        entry = LogEntry(
+            run_date, run_ts, step, status, records_out=loaded, error=error, source_system=source
+        )
+        append_log(spark, [entry], f"{root}/pipeline_audit_log")
+
+    try:
+        loaded = work()
+    except Exception as e:
+        log("FAILED", error=str(e))
+        raise
+    log("SUCCESS", loaded)
+    return loaded
+
+
 def latest_per_key(source: DataFrame) -> DataFrame:
     """The row with the highest order id per merge key; equal ids by their measures."""
     order = [F.desc_nulls_last("order_id")]
@@ -194,25 +216,58 @@ def load_finance(
     root: str,
     run_ts: datetime,
     run_date: date | None = None,
-) -> None:
-    """Replace one run date's finance facts; new cost centres are added to their dimension."""
+) -> DataFrame:
+    """Replace one run date's finance facts; returns the cells that found no place in them.
+
+    The finance source, the regions of the mapped units and new cost centres are added to their
+    dimensions first. A cell whose unit is not mapped, or without a cost centre, is returned with
+    its amounts, so that loaded and returned sums make the accepted sums. The run is logged, a
+    failure too.
+    """
     run_date = run_date or run_ts.date()
-    # One row per cell from here on, so the feed is read once.
-    cells = settled(finance.finance_cells(accepted))
-    names = cells.select(F.col("cost_center").alias("cost_center_name"))
-    dim = open_table(spark, f"{root}/dim_cost_center", DIM_COST_CENTER)
-    seeded = dimensions.seed_members(dim, names, "cost_center_name", "cost_center_key")
-    _rewrite(spark, seeded, root, "dim_cost_center", DIM_COST_CENTER)
-
-    dims = read_dimensions(spark, root)
-    rows = finance.finance_fact(
-        cells, dims["dim_region"], dims["dim_cost_center"], dims["dim_source"], unit_regions
-    )
-    rows = rows.withColumns(
-        {
-            "fact_key": upsert.new_fact_keys(run_date, F.lit(None).cast("bigint")),
-            "load_timestamp": F.lit(run_ts.isoformat()).cast("timestamp_ntz"),
-            "pipeline_run_date": F.lit(run_date),
-        }
-    )
-    replace_run(rows, f"{root}/fact_finance", FACT_FINANCE)
+    lost = []
+
+    def work() -> int:
+        # One row per cell from here on, so the feed is read once.
+        cells = settled(finance.finance_cells(accepted))
+        sources = spark.createDataFrame([(finance.SOURCE,)], "source_name string")
+        _seed(spark, root, "dim_source", "source_name", "source_key", sources)
+        regions = unit_regions.select(F.col("region").alias("region_name"))
+        _seed(spark, root, "dim_region", "region_name", "region_key", regions)
+        names = cells.select(F.col("cost_center").alias("cost_center_name"))
+        _seed(spark, root, "dim_cost_center", "cost_center_name", "cost_center_key", names)
+
+        dims = read_dimensions(spark, root)
+        known = (dims["dim_region"], dims["dim_cost_center"])
+        lost.append(settled(finance.finance_unmatched(cells, *known, unit_regions)))
+        rows = finance.finance_fact(cells, *known, dims["dim_source"], unit_regions)
+        numbered = kept_with_places(rows, "_place")
+        none = F.lit(None).cast("bigint")
+        stamped = numbered.withColumns(
+            {
+                "fact_key": upsert.new_fact_keys(run_date, none, F.col("_place")),
+                "load_timestamp": F.lit(run_ts.isoformat()).cast("timestamp_ntz"),
+                "pipeline_run_date": F.lit(run_date),
+            }
+        )
+        open_table(spark, f"{root}/fact_finance", FACT_FINANCE, RUN_PARTITION)
+        replace_run(stamped, f"{root}/fact_finance", FACT_FINANCE, run_date)
+        return numbered.count()
+
+    _logged(spark, root, run_date, run_ts, FINANCE_STEP, finance.SOURCE, work)
+    return lost[0]
+
+
+def audit_star_schema(spark: SparkSession, root: str) -> DataFrame:
+    """Every broken constraint of the loaded tables: (table_name, rule, column_name, records).
+
+    Repeated keys, missing mandatory values and references to absent members, over all tables
+    with all their rows; empty when everything holds. Facts are reduced in the scanning tasks.
+    """
+    tables = {**DIMENSIONS, **FACTS, "pipeline_audit_log": AUDIT_LOG}
+    partitions = dict.fromkeys(FACTS, RUN_PARTITION)
+    held = {
+        name: open_table(spark, f"{root}/{name}", table, partitions.get(name, ()))
+        for name, table in tables.items()
+    }
+    return constraints.star_schema_faults(held)

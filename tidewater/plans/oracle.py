@@ -141,8 +141,8 @@ SELECT 1 AS source_key, 'warehouse_csv' AS source_name UNION ALL SELECT 2, 'fina
     "dim_days": (
         (),
         """
-SELECT CAST(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) AS INT) AS date_key, order_date AS full_date
-FROM (SELECT DISTINCT DATE '2024-01-01' + CAST(l_orderkey % 182 AS INT) AS order_date FROM lineitem)""",
+SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, CAST(d AS DATE) AS full_date
+FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-06-30', INTERVAL 1 DAY)) AS d)""",
     ),
     "resolved": (
         ("stg", "dim_days", "dim_region", "dim_shift", "dim_source"),
@@ -155,43 +155,51 @@ JOIN dim_region ON region_name = region
 JOIN dim_shift ON shift_name = shift
 JOIN dim_source ON source_name = record_source""",
     ),
-    # One accepted row per merge key; the order is total, so equal order ids cannot swap.
-    "stg_ops": (
+    "every": (
         ("stg",),
         """
-SELECT * EXCLUDE (rn)
-FROM (SELECT s.*, row_number() OVER (PARTITION BY order_date, region, shift
-        ORDER BY order_id NULLS LAST, throughput_uph NULLS LAST, dock_delay_hrs NULLS LAST, defect_rate_pct NULLS LAST,
-          inventory_accuracy_pct NULLS LAST, sla_hours NULLS LAST, units_processed NULLS LAST, cost_per_unit NULLS LAST) AS rn
-      FROM stg s)
-WHERE rn = 1""",
-    ),
+SELECT CAST(year(order_date) * 10000 + month(order_date) * 100 + day(order_date) AS INT) AS date_key,
+       r_regionkey + 1 AS region_key, CASE shift WHEN 'Day' THEN 1 ELSE 2 END AS shift_key,
+       CASE record_source WHEN 'warehouse_csv' THEN 1 WHEN 'api' THEN 3 ELSE 4 END AS source_key, order_id,
+       throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct, sla_hours, sla_met, units_processed,
+       cost_per_unit, record_source, total_cost, DATE '2024-07-01' AS pipeline_run_date
+FROM stg JOIN region ON r_name = region""",
+    ),
+    # One row of each key that the target holds, by a total order, and every copy of the others.
     "src_ops": (
-        ("stg_ops", "dim_days", "dim_region", "dim_shift", "dim_source"),
+        ("every",),
         """
-SELECT date_key, region_key, shift_key, source_key, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct,
-       sla_hours, sla_met, units_processed, cost_per_unit, record_source, total_cost, DATE '2024-07-01' AS pipeline_run_date
-FROM stg_ops
-JOIN dim_days ON full_date = order_date
-JOIN dim_region ON region_name = region
-JOIN dim_shift ON shift_name = shift
-JOIN dim_source ON source_name = record_source""",
+SELECT * EXCLUDE (rn, order_id)
+FROM (SELECT e.*, row_number() OVER (PARTITION BY date_key, region_key, shift_key, pipeline_run_date
+        ORDER BY source_key, throughput_uph NULLS LAST, dock_delay_hrs NULLS LAST, defect_rate_pct NULLS LAST,
+          inventory_accuracy_pct NULLS LAST, sla_hours NULLS LAST, sla_met, units_processed, cost_per_unit,
+          record_source, total_cost) AS rn
+      FROM every e)
+WHERE date_key % 3 <> 0 OR rn = 1""",
     ),
     "tgt_ops": (
-        ("src_ops",),
+        ("every",),
         """
-SELECT * REPLACE (throughput_uph - 1 AS throughput_uph) FROM src_ops WHERE date_key % 3 = 0
-UNION ALL
-SELECT * REPLACE (DATE '2024-06-30' AS pipeline_run_date) FROM src_ops WHERE date_key % 5 = 0""",
+SELECT date_key, region_key, shift_key, 4 AS source_key, 1.0 AS throughput_uph, 0.01 AS dock_delay_hrs, 77.5 AS defect_rate_pct,
+       1.5 AS inventory_accuracy_pct, 99.5 AS sla_hours, CAST(NULL AS BOOLEAN) AS sla_met, 1 AS units_processed, 0.01 AS cost_per_unit,
+       'legacy' AS record_source, 0.01 AS total_cost, run AS pipeline_run_date
+FROM (SELECT DISTINCT date_key, region_key, shift_key FROM every)
+JOIN (SELECT DATE '2024-07-01' AS run, 3 AS share UNION ALL SELECT DATE '2024-06-30', 5) ON date_key % share = 0""",
     ),
+    # An update takes the measures of the load; keys, source and lineage stay the target's.
     "merged": (
         ("src_ops", "tgt_ops"),
         """
-SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM tgt_ops t WHERE t.date_key = s.date_key AND t.region_key = s.region_key
-              AND t.shift_key = s.shift_key AND t.pipeline_run_date = s.pipeline_run_date) THEN 'update' ELSE 'insert' END AS action
-FROM src_ops s
+SELECT s.*, 'insert' AS action FROM src_ops s WHERE date_key % 3 <> 0
+UNION ALL
+SELECT s.* REPLACE (t.source_key AS source_key, t.record_source AS record_source), 'update' AS action
+FROM src_ops s JOIN tgt_ops t USING (date_key, region_key, shift_key, pipeline_run_date)
 UNION ALL
-SELECT t.*, 'keep' AS action FROM tgt_ops t WHERE t.pipeline_run_date = DATE '2024-06-30'""",
+SELECT t.* REPLACE (CAST(throughput_uph AS DOUBLE) AS throughput_uph, CAST(dock_delay_hrs AS DOUBLE) AS dock_delay_hrs,
+         CAST(defect_rate_pct AS DOUBLE) AS defect_rate_pct, CAST(inventory_accuracy_pct AS DOUBLE) AS inventory_accuracy_pct,
+         CAST(sla_hours AS DOUBLE) AS sla_hours, CAST(cost_per_unit AS DOUBLE) AS cost_per_unit, CAST(total_cost AS DOUBLE) AS total_cost),
+       'keep' AS action
+FROM tgt_ops t WHERE pipeline_run_date = DATE '2024-06-30'""",
     ),
     "days": (
         (),
@@ -211,11 +219,10 @@ FROM days""",
     "trend": (
         ("audit",),
         """
-SELECT run_date, records_in, rejection_rate, pipeline_min, CAST(trunc(records_in * (1 - rejection_rate / 100)) AS BIGINT) AS records_out
-FROM (SELECT run_date, CAST(sum(records_in) AS BIGINT) AS records_in,
-             CAST(sum(records_rejected) AS DOUBLE) / CAST(sum(records_in) AS DOUBLE) * 100 AS rejection_rate,
-             sum(duration_sec) / 60 AS pipeline_min
-      FROM audit GROUP BY run_date)""",
+SELECT run_date, CAST(sum(records_in) AS BIGINT) AS records_in,
+       CAST(sum(records_rejected) AS DOUBLE) / CAST(sum(records_in) AS DOUBLE) * 100 AS rejection_rate,
+       sum(duration_sec) / 60 AS pipeline_min, CAST(sum(records_out) AS BIGINT) AS records_out
+FROM audit GROUP BY run_date""",
     ),
     "ops_facts": (
         ("wh_rich", "fin_ok"),
@@ -230,17 +237,42 @@ SELECT 'finance_json', CAST(last_day(CAST(month || '-01' AS DATE)) + 1 AS DATE)
 SELECT CASE WHEN l_orderkey % 100 = 0 THEN NULL ELSE concat('ORD-', CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) END AS order_id,
        CAST(CAST(DATE '2024-01-01' + CAST(l_orderkey % 182 AS INT) AS DATE) AS VARCHAR) AS order_date,
        CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE r_name END AS region,
+       CASE WHEN l_linenumber % 2 = 1 THEN 'Day' ELSE 'Night' END AS shift,
        CASE WHEN l_orderkey % 53 = 0 THEN '1d' WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 61 = 0 THEN 'abc'
             WHEN l_orderkey % 67 = 0 THEN ' 1.2e2 ' ELSE CAST(80 + l_partkey % 71 AS VARCHAR) END AS throughput_uph,
+       CASE WHEN l_partkey % 97 = 0 THEN '60' WHEN l_partkey % 91 = 0 THEN 'late' ELSE CAST((l_quantity - 1) / 8 AS VARCHAR) END AS dock_delay_hrs,
        CASE WHEN l_orderkey % 31 = 0 THEN 'inf' WHEN l_orderkey % 37 = 0 THEN 'abc' WHEN l_orderkey % 41 = 0 THEN '1e400'
             WHEN l_orderkey % 43 = 0 THEN '-0.5' ELSE CAST(CAST(round(l_discount * 100) AS INT) AS VARCHAR) END AS defect_rate_pct,
+       CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN l_partkey % 83 = 0 THEN '120'
+            ELSE CAST(CAST(100 - round(l_tax * 100) AS INT) AS VARCHAR) END AS inventory_accuracy_pct,
+       CASE WHEN l_suppkey % 37 = 0 THEN NULL WHEN l_suppkey % 43 = 0 THEN 'soon' ELSE CAST(12 + l_quantity / 2 AS VARCHAR) END AS sla_hours,
        CASE WHEN l_partkey % 101 = 0 THEN '0' WHEN l_partkey % 103 = 0 THEN NULL
-            ELSE CAST(CAST(l_quantity AS INT) * 9 AS VARCHAR) END AS units_processed
+            WHEN l_partkey % 107 = 0 THEN concat(CAST(CAST(l_quantity AS INT) * 9 AS VARCHAR), '.7')
+            ELSE CAST(CAST(l_quantity AS INT) * 9 AS VARCHAR) END AS units_processed,
+       CAST(CAST(300 + l_partkey % 300 AS DOUBLE) / 100 AS VARCHAR) AS cost_per_unit
 FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""",
     ),
+    "wh_text_chk": (
+        ("wh_text",),
+        """
+SELECT *, f1 OR f3 OR f4 OR f5 OR f6 OR f7 OR f8 AS rejected,
+       concat_ws(' ', CASE WHEN f1 THEN 'null:order_id' END, CASE WHEN f3 THEN 'null:region' END, CASE WHEN f4 THEN 'non_positive:throughput_uph' END,
+         CASE WHEN f5 THEN 'non_positive:units_processed' END, CASE WHEN f6 THEN 'out_of_range:defect_rate_pct' END,
+         CASE WHEN f7 THEN 'out_of_range:inventory_accuracy_pct' END, CASE WHEN f8 THEN 'out_of_range:dock_delay_hrs' END) AS rejection_reason
+FROM (SELECT *, order_id IS NULL AS f1, region IS NULL AS f3,
+             coalesce(throughput_num, -1) <= 0 AS f4, coalesce(units_num, -1) <= 0 AS f5,
+             coalesce(defect_num < 0 OR defect_num > 100, FALSE) AS f6,
+             coalesce(inventory_num < 0 OR inventory_num > 100, FALSE) AS f7,
+             coalesce(dock_num < 0 OR dock_num > 48, FALSE) AS f8
+      FROM (SELECT *, TRY_CAST(trim(throughput_uph) AS DOUBLE) AS throughput_num, TRY_CAST(units_processed AS DOUBLE) AS units_num,
+                   CASE WHEN defect_rate_pct <> '1e400' THEN TRY_CAST(defect_rate_pct AS DOUBLE) END AS defect_num,
+                   TRY_CAST(inventory_accuracy_pct AS DOUBLE) AS inventory_num, TRY_CAST(dock_delay_hrs AS DOUBLE) AS dock_num,
+                   TRY_CAST(sla_hours AS DOUBLE) AS sla_num, CAST(cost_per_unit AS DOUBLE) AS cost_num
+            FROM wh_text))""",
+    ),
 }
 
 RAW = "order_id, order_date, region, shift, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct, sla_hours, units_processed, cost_per_unit"
@@ -268,7 +300,19 @@ def _stats(source: str, view: str) -> str:
   count(*) FILTER (rejected) AS records_rejected, round(CAST(count(*) FILTER (rejected) AS DOUBLE) / count(*) * 100, 6) AS rejection_rate FROM {view}"""
 
 
-_LIMITS = {"order_id": 10, "region": 60, "shift": 20, "record_source": 40}
+# Facts whose dimension lacks the key; the calendar there ends 30 days before the last order.
+_HELD = {
+    "date_key": "SELECT date_key FROM dim_days WHERE full_date <= DATE '2024-06-30' - 30",
+    "region_key": "SELECT region_key FROM dim_region",
+    "shift_key": "SELECT shift_key FROM dim_shift",
+    "source_key": "SELECT source_key FROM dim_source",
+}
+ORPHANS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS BIGINT) AS value, count(*) AS records"
+    f" FROM every WHERE {c} NOT IN ({held}) GROUP BY {c}"
+    for c, held in _HELD.items()
+)
+_LIMITS = {"order_id": 20, "region": 60, "shift": 20, "record_source": 40}
 _COLUMNS = RAW.split(", ")
 _STEP = """SELECT '{step}' AS step, 'SUCCESS' AS status, {came} AS records_in, {kept} AS records_out, {lost} AS records_rejected,
   round(CAST({lost} AS DOUBLE) / {came} * 100, 6) AS rejection_rate FROM {view}"""
@@ -327,18 +371,36 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
         ("fin_chk",),
         f"SELECT {FIN}, rejection_reason FROM fin_chk WHERE rejected",
     ),
-    "qc_text_feed": (
-        ("wh_text",),
-        """SELECT order_id, order_date, region, throughput_uph, defect_rate_pct, units_processed,
-       f1 OR f3 OR f4 OR f5 OR f6 AS rejected,
-       concat_ws(' ', CASE WHEN f1 THEN 'null:order_id' END, CASE WHEN f3 THEN 'null:region' END, CASE WHEN f4 THEN 'non_positive:throughput_uph' END,
-         CASE WHEN f5 THEN 'non_positive:units_processed' END, CASE WHEN f6 THEN 'out_of_range:defect_rate_pct' END) AS rejection_reason
-FROM (SELECT *, order_id IS NULL AS f1, region IS NULL AS f3,
-             coalesce(TRY_CAST(trim(throughput_uph) AS DOUBLE), -1) <= 0 AS f4,
-             coalesce(TRY_CAST(trim(units_processed) AS DOUBLE), -1) <= 0 AS f5,
-             CASE WHEN defect_rate_pct = '1e400' THEN FALSE
-                  ELSE coalesce(TRY_CAST(defect_rate_pct AS DOUBLE) < 0 OR TRY_CAST(defect_rate_pct AS DOUBLE) > 100, FALSE) END AS f6
-      FROM wh_text)""",
+    "qc_text_feed": (("wh_text_chk",), f"SELECT {RAW}, rejected, rejection_reason FROM wh_text_chk"),
+    "text_chain": (
+        ("wh_text_chk",),
+        """SELECT order_id, CAST(order_date AS DATE) AS order_date, region, shift, throughput_num AS throughput_uph, dock_num AS dock_delay_hrs,
+       defect_num AS defect_rate_pct, inventory_num AS inventory_accuracy_pct, sla_num AS sla_hours,
+       CAST(floor(units_num) AS INT) AS units_processed, cost_num AS cost_per_unit,
+       CAST(year(CAST(order_date AS DATE)) AS INT) AS year, strftime(CAST(order_date AS DATE), '%Y-%m') AS month,
+       concat('Q', CAST(quarter(CAST(order_date AS DATE)) AS VARCHAR)) AS quarter, coalesce(sla_num <= 24, FALSE) AS sla_met,
+       CAST(CAST(CAST(cost_num AS DECIMAL(8,2)) * CAST(floor(units_num) AS INT) AS DECIMAL(12,2)) AS DOUBLE) AS total_cost,
+       CASE WHEN dock_num > 0 AND dock_num <= 1 THEN '<1hr' WHEN dock_num > 1 AND dock_num <= 2 THEN '1-2hrs'
+            WHEN dock_num > 2 AND dock_num <= 4 THEN '2-4hrs' WHEN dock_num > 4 AND dock_num <= 100 THEN '>4hrs' END AS dock_category,
+       coalesce(defect_num > 3.5, FALSE) AS high_defect, coalesce(throughput_num < 120, FALSE) AS below_benchmark,
+       'warehouse_csv' AS record_source
+FROM wh_text_chk WHERE NOT rejected""",
+    ),
+    "text_lossy": (
+        ("wh_text_chk",),
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NOT NULL AND ({n} IS NULL OR {more})) AS records"
+            " FROM wh_text_chk WHERE NOT rejected"
+            for c, n, more in (
+                ("throughput_uph", "throughput_num", "FALSE"),
+                ("dock_delay_hrs", "dock_num", "FALSE"),
+                ("defect_rate_pct", "defect_num", "FALSE"),
+                ("inventory_accuracy_pct", "inventory_num", "FALSE"),
+                ("sla_hours", "sla_num", "FALSE"),
+                ("units_processed", "units_num", "units_num <> floor(units_num)"),
+                ("cost_per_unit", "cost_num", "FALSE"),
+            )
+        ),
     ),
     "audit_varchar": (
         ("wh_rich",),
@@ -380,7 +442,13 @@ UNION ALL SELECT 'dim_region', region, count(*) FROM stg WHERE region NOT IN (SE
 UNION ALL SELECT 'dim_shift', shift, count(*) FROM stg WHERE shift NOT IN (SELECT shift_name FROM dim_shift) GROUP BY shift
 UNION ALL SELECT 'dim_source', record_source, count(*) FROM stg WHERE record_source NOT IN (SELECT source_name FROM dim_source) GROUP BY record_source""",
     ),
+    "load_ops_all": (("every",), "SELECT * FROM every"),
     "upsert_ops": (("merged",), f"SELECT {FACT}, action FROM merged"),
+    "load_fact_keys": (
+        ("merged",),
+        """SELECT pipeline_run_date, action, count(*) AS records, count(*) AS distinct_keys,
+       count(*) FILTER (action = 'insert') AS new_keys FROM merged GROUP BY ALL""",
+    ),
     "upsert_actions": (
         ("merged",),
         "SELECT action, count(*) AS records, CAST(sum(CAST(total_cost AS DECIMAL(12,2))) AS DOUBLE) AS total_cost FROM merged GROUP BY action",
@@ -390,11 +458,19 @@ UNION ALL SELECT 'dim_source', record_source, count(*) FROM stg WHERE record_sou
         "SELECT count(*) FILTER (action <> 'keep') AS records_loaded FROM merged",
     ),
     "merge_conflicts": (
-        ("resolved", "tgt_ops"),
-        """SELECT date_key, region_key, shift_key, pipeline_run_date, count(*) AS copies FROM resolved r
-WHERE EXISTS (SELECT 1 FROM tgt_ops t WHERE t.date_key = r.date_key AND t.region_key = r.region_key AND t.shift_key = r.shift_key
-              AND t.pipeline_run_date = r.pipeline_run_date)
+        ("every", "tgt_ops"),
+        """SELECT date_key, region_key, shift_key, pipeline_run_date, count(*) AS copies
+FROM every JOIN (SELECT DISTINCT date_key, region_key, shift_key, pipeline_run_date FROM tgt_ops)
+  USING (date_key, region_key, shift_key, pipeline_run_date)
 GROUP BY ALL HAVING count(*) > 1""",
+    ),
+    "finance_unmatched": (
+        ("fin_ok", "dim_region"),
+        """SELECT month, business_unit, cost_center,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (record_type = 'budget') AS DOUBLE) AS budget_amount,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (record_type = 'actual') AS DOUBLE) AS actual_amount,
+       'business_unit' AS unmatched
+FROM fin_ok WHERE business_unit NOT IN (SELECT region_name FROM dim_region) GROUP BY ALL""",
     ),
     "finance_fact": (
         ("fin_ok", "dim_region"),
@@ -413,10 +489,16 @@ JOIN (SELECT cost_center AS name, CAST(row_number() OVER (ORDER BY cost_center)
         ("wh_raw",),
         "SELECT order_id, count(*) AS copies FROM wh_raw GROUP BY order_id HAVING count(*) > 1",
     ),
-    "audit_fk": (
-        ("wh_rich",),
-        """SELECT 'region_key' AS column_name, CAST(r_regionkey + 1 AS BIGINT) AS value, count(*) AS records
-FROM wh_rich JOIN region ON r_name = region WHERE r_name = 'MIDDLE EAST' GROUP BY r_regionkey""",
+    "audit_fk": (("every", "dim_days", "dim_region", "dim_shift", "dim_source"), ORPHANS),
+    "audit_star": (
+        ("every", "dim_days", "dim_region", "dim_shift", "dim_source"),
+        f"""SELECT 'fact_operations' AS table_name, 'foreign_key' AS rule, column_name, CAST(sum(records) AS BIGINT) AS records
+FROM ({ORPHANS}) GROUP BY column_name
+UNION ALL
+SELECT 'fact_operations', 'primary_key', 'fact_key', CAST(sum(n) AS BIGINT)
+FROM (SELECT split_part(order_id, '-', 2) AS fact_key, count(*) AS n FROM every GROUP BY 1 HAVING count(*) > 1)
+UNION ALL
+SELECT 'dim_shift', 'not_null', 'shift_name', 1""",
     ),
     "audit_not_null": (
         ("wh_raw",),
@@ -517,7 +599,7 @@ GROUP BY d.source_system, d.run_date""",
     "region_filter": (
         ("stg",),
         f"""SELECT region, shift, {REGIONAL} FROM stg
-WHERE region IN (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = 'FRANCE')
+WHERE region IN (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = 'NATION_3')
 GROUP BY region, shift""",
     ),
 }

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from tidewater.functions.numbers import column
 
 Table = dict[str, str]
+# Column for the whole text of a record that its reader could not parse, or whose number of
+# values is wrong.
+UNREADABLE = "unreadable_record"
+
+# The feeds' and tables' columns, in their order, with their types.
 
 WAREHOUSE_FEED: Table = {
     "order_id": "string",
@@ -150,7 +155,7 @@ AUDIT_LOG: Table = {
     "inserted_at": "timestamp_ntz",
 }
 
-# Keys, mandatory columns and references, checked by audit jobs instead of at write time.
+# Keys, mandatory columns and references, checked by audit jobs instead of at write time.
 PRIMARY_KEYS = {
     "dim_date": "date_key",
     "dim_region": "region_key",
@@ -169,8 +174,21 @@ MANDATORY = {
     "dim_source": ("source_name",),
     "pipeline_audit_log": ("run_date", "run_timestamp"),
 }
-OPERATIONS_REFERENCES = ("date_key", "region_key", "shift_key", "source_key")
-FINANCE_REFERENCES = ("date_key", "region_key", "cost_center_key", "source_key")
+# Fact column to the dimension whose key it holds.
+REFERENCES = {
+    "fact_operations": {
+        "date_key": "dim_date",
+        "region_key": "dim_region",
+        "shift_key": "dim_shift",
+        "source_key": "dim_source",
+    },
+    "fact_finance": {
+        "date_key": "dim_date",
+        "region_key": "dim_region",
+        "cost_center_key": "dim_cost_center",
+        "source_key": "dim_source",
+    },
+}
 
 
 def spark_type(declared: str) -> str:

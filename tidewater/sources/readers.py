@@ -9,17 +9,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.numbers import column, number
 from tidewater.functions.text import markers_to_null
-from tidewater.schemas import Table, spark_type
+from tidewater.schemas import UNREADABLE, Table, spark_type
 
 LANDING_DAY = r"/(\d{4}/\d{2}/\d{2})/"
-# Holds the whole text of a JSON record that could not be parsed.
-UNREADABLE = "unreadable_record"
 
 Paths = str | list[str]
 
@@ -32,8 +30,10 @@ def csv_header(spark: SparkSession, path: Paths, multiline: bool = False) -> T.S
 def _csv_text(spark: SparkSession, path: Paths, multiline: bool, strict: bool) -> DataFrame:
     header = csv_header(spark, path, multiline)
     options = {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
+    options |= {"columnNameOfCorruptRecord": UNREADABLE}
     options["mode"] = "FAILFAST" if strict else "PERMISSIVE"
-    return spark.read.options(**options).schema(header).csv(path)
+    schema = header if strict else T.StructType([*header, T.StructField(UNREADABLE, T.StringType())])
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def _json_text(spark: SparkSession, path: Paths, table: Table, array: bool) -> DataFrame:
@@ -50,8 +50,9 @@ def read_csv(
     Only the header line is read here: no type inference, so no extra pass and no column that
     changes type because of one odd value. Every further file must carry the same header; one
     that does not fails the read instead of shifting its columns. Keep ``multiline`` off unless
-    quoted values hold line breaks, since it makes files unsplittable. A row shorter than the
-    header ends in nulls and a longer one loses what is beyond it; ``strict`` fails on both.
+    quoted values hold line breaks, since it makes files unsplittable. The whole text of a row with
+    more or fewer values than the header goes to ``unreadable_record``, which the check rejects;
+    with ``strict`` such a row fails the read and that column is left out.
     """
     return markers_to_null(_csv_text(spark, path, multiline, strict))
 
@@ -106,8 +107,9 @@ def read_landing_json(
 def typed(df: DataFrame, table: Table) -> DataFrame:
     """Accepted text rows cast to the feed's types; columns the feed does not name are kept.
 
-    A range rule lets text pass, so a number column may still hold words: they become null.
-    Dates raise when they cannot be read.
+    A range rule lets text pass, so a number column may still hold words: they become null, and
+    a fraction of a whole number is cut off. ``lossy_values`` flags both, and the daily run counts
+    and logs them. Dates raise when they cannot be read.
     """
     casts = {}
     for name in df.columns:
@@ -119,3 +121,17 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
         else:
             casts[name] = column(name)
     return df.select(*[c.alias(name) for name, c in casts.items()])
+
+
+def lossy_values(df: DataFrame, table: Table) -> dict[str, Column]:
+    """Per number column of the feed, whether a row's text holds more than ``typed`` keeps of it."""
+    flags = {}
+    for name in df.columns:
+        kind = spark_type(table.get(name, "string"))
+        if kind in ("double", "int", "bigint"):
+            value = number(df, name)
+            lost = column(name).isNotNull() & value.isNull()
+            if kind != "double":
+                lost |= F.coalesce(value != F.floor(value), F.lit(False))
+            flags[name] = lost
+    return flags

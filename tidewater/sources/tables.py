@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,14 @@ def checked_dir(root: str, source: str, run_date: date) -> str:
     return f"{root}/{source}/{run_date:%Y-%m-%d}"
 
 
-def write_checked(checked: DataFrame, path: str) -> dict[str, int | float]:
+def write_checked(
+    checked: DataFrame, path: str, lossy: dict[str, Column] | None = None
+) -> dict[str, int | float]:
     """Write accepted and rejected rows in one pass and return the counts of that pass.
 
+    ``lossy`` has a flag per column for values that their type cannot hold; accepted rows with
+    one are counted under ``lossy:<column>``.
+
     The rows go to ``rejected=false`` and ``rejected=true`` below ``path``; the second directory
     exists only when something was rejected. The whole directory is replaced, so a rerun leaves
     no rejects of an earlier run behind. The counts come from the writing tasks themselves: the
@@ -29,6 +34,7 @@ def write_checked(checked: DataFrame, path: str) -> dict[str, int | float]:
         seen,
         F.count(F.lit(1)).alias("records_in"),
         F.count_if(F.col("rejected")).alias("records_rejected"),
+        *[F.count_if(~F.col("rejected") & flag).alias(f"lossy:{c}") for c, flag in (lossy or {}).items()],
     )
     counted.write.mode("overwrite").partitionBy("rejected").parquet(path)
     records_in, bad = seen.get["records_in"], seen.get["records_rejected"]
@@ -37,6 +43,7 @@ def write_checked(checked: DataFrame, path: str) -> dict[str, int | float]:
         "records_out": records_in - bad,
         "records_rejected": bad,
         "rejection_rate": bad / records_in * 100 if records_in else 0.0,
+        **{f"lossy:{c}": seen.get[f"lossy:{c}"] for c in lossy or {}},
     }
 
 
@@ -72,32 +79,37 @@ def open_table(
     return read_table(spark, path, table)
 
 
-def replace_table(df: DataFrame, path: str, table: Table) -> None:
-    """Write a whole table with its declared columns and types."""
-    conform(df, table).write.mode("overwrite").parquet(path)
-
-
 def append_rows(df: DataFrame, path: str, table: Table) -> None:
     conform(df, table).write.mode("append").parquet(path)
 
 
-def replace_run(df: DataFrame, path: str, table: Table) -> None:
-    """Replace only the run dates that ``df`` holds; other dates' files stay as they are.
+def replace_run(df: DataFrame, path: str, table: Table, run_date: date) -> None:
+    """Replace the rows of one run date; other dates' files stay as they are.
 
-    The old files are readable until the job commits, so ``df`` may be built from them. Rows are
-    ordered by date and region inside each file, which keeps the column statistics narrow. One
-    writer at a time; after a driver crash, run the load again.
+    ``df`` holds rows of that date only, or none: then the date's old rows go. The old files are
+    readable until the job commits, so ``df`` may be built from them. Rows are ordered by date
+    and region inside each file, which keeps the column statistics narrow. One writer at a time;
+    after a driver crash, run the load again.
     """
+    seen = Observation()
+    other = F.raise_error(F.lit(f"Row of another run date than {run_date}")).cast("date")
+    own = F.when(F.col("pipeline_run_date") == F.lit(run_date), F.col("pipeline_run_date"))
     (
         conform(df, table)
-        .sortWithinPartitions("pipeline_run_date", "date_key", "region_key")
+        .withColumn("pipeline_run_date", own.otherwise(other))
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .sortWithinPartitions("date_key", "region_key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("pipeline_run_date")
         .parquet(path)
     )
+    if not seen.get["rows"]:
+        # A dynamic overwrite leaves partitions alone that get no row.
+        empty = conform(df.sparkSession.range(0), {k: v for k, v in table.items() if k != "pipeline_run_date"})
+        empty.write.mode("overwrite").parquet(f"{path}/pipeline_run_date={run_date}")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV directory with a header, for small reports such as the run log."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """One CSV directory with a header, a file per task; a run log has a single task's rows."""
+    df.write.mode("overwrite").option("header", True).csv(path)

@@ -13,10 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater.functions.text import markers_to_null
 from tidewater.operators import quality
 from tidewater.operators.rules import rules_for
-from tidewater.schemas import Table
-from tidewater.sources.readers import UNREADABLE, with_landing_date
+from tidewater.schemas import UNREADABLE, Table
+from tidewater.sources.readers import with_landing_date
 
 FORMATS = ("csv", "json")
+# Older than any file.
+ALL_AGES = "100000d"
 
 
 def landing_stream(
@@ -26,22 +28,20 @@ def landing_stream(
     table: Table,
     file_format: str = "csv",
     files_per_batch: int = 10_000,
-    remember: str = "365d",
+    remember: str = ALL_AGES,
 ) -> DataFrame:
     """All files below ``root/<source>/YYYY/MM/DD`` as a stream of text rows with their day.
 
     A run takes all new files, in batches of ``files_per_batch``, so that a failure repeats one
-    batch and not the whole backlog. Files that are older than the newest one by more than
-    ``remember`` are not looked at; Spark's default of a week would skip late copies.
+    batch and not the whole backlog. No file is too old to be read; ``remember`` may name an age
+    against the newest file beyond which files are not looked at.
     """
     if file_format not in FORMATS:
         raise ValueError(f"file_format must be one of {FORMATS}, not {file_format!r}")
-    names = [*table, UNREADABLE] if file_format == "json" else list(table)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*table, UNREADABLE)])
+    options = {"columnNameOfCorruptRecord": UNREADABLE}
     if file_format == "csv":
-        options = {"header": True, "escape": '"', "enforceSchema": False}
-    else:
-        options = {"columnNameOfCorruptRecord": UNREADABLE}
+        options |= {"header": True, "escape": '"', "enforceSchema": False}
     options |= {"maxFilesPerTrigger": files_per_batch, "maxFileAge": remember}
     reader = spark.readStream.format(file_format).schema(schema).options(**options)
     return markers_to_null(with_landing_date(reader.load(f"{root}/{source}/*/*/*")))
