@@ -47,7 +47,7 @@ def test_signs_spaces_and_line_ends():
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcdefinorst▁é\n.", min_size=1, max_size=40))
 def test_heap_and_matrix_agree(text):
-    normal = MODEL.normalize(text)
+    normal = MODEL.normalize(text).replace("▁", " ")
     by_heap = [i for s in MERGER.merged(normal) for i in MERGER._ids_of(s)]
     assert by_heap == MODEL.encode(text)
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import string
-import sys
-from types import ModuleType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,11 +59,13 @@ def put_aside(df: DataFrame, results: list[str]) -> tuple[DataFrame, list[Column
     return df.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in df.columns]
 
 
-def worker_store() -> dict:
-    """A dictionary that lives as long as the worker process, for what is costly to load.
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends texts to Python in Arrow batches of at most 8 MB.
 
-    Functions reach a worker anew with every task, and their globals with them; a module of the
-    process stays.
+    Spark's own bound is 64 MB, which both sides of every task hold several times over. A session
+    that sets another bound keeps it.
     """
-    name = "_tidewater_worker_store"
-    return sys.modules.setdefault(name, ModuleType(name)).__dict__
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) == "67108864b":
+        conf.set(key, "8m")
+    return df

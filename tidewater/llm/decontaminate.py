@@ -11,13 +11,22 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import LOWER, free_names, id_of, put_aside, raw_text, record, text_of
+from tidewater.llm.common import (
+    LOWER,
+    free_names,
+    id_of,
+    in_small_batches,
+    put_aside,
+    raw_text,
+    record,
+    text_of,
+)
 from tidewater.sources.checkpoint import settled
 
 WINDOW = 13
@@ -38,6 +47,11 @@ _SCAN = record(
     n_words=T.LongType(), spans=T.ArrayType(_SPAN), items=T.ArrayType(T.StringType())
 )
 
+_PLACES = pa.struct([(name, pa.int32()) for name in _SPAN.names])
+_SCANNED = pa.struct(
+    [("n_words", pa.int64()), ("spans", pa.list_(_PLACES)), ("items", pa.list_(pa.string()))]
+)
+
 
 def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_NORMAL).split()
@@ -46,20 +60,23 @@ def words_of(raw: bytes) -> list[bytes]:
 def windows_of(items: DataFrame, width: int, item_col: str, text_col: str) -> DataFrame:
     """(window, item): every distinct window of every item; an item without words has none."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for item, raw in zip(batch["item"], batch["raw"]):
+            windows, names = [], []
+            for item, raw in zip(batch["item"].to_pylist(), batch["raw"].to_pylist()):
                 words = words_of(raw)
                 places = max(1, len(words) - width + 1) if words else 0
-                rows += [(b" ".join(words[i : i + width]), item) for i in range(places)]
-            yield pd.DataFrame(rows, columns=["window", "item"])
+                windows += [b" ".join(words[i : i + width]) for i in range(places)]
+                names += [item] * places
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(windows, pa.binary()), pa.array(names, pa.string())], names=["window", "item"]
+            )
 
     texts = items.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
         raw_text(text_col).alias("raw"),
     )
-    return texts.mapInPandas(cut, record(window=T.BinaryType(), item=T.StringType())).distinct()
+    return texts.mapInArrow(cut, record(window=T.BinaryType(), item=T.StringType())).distinct()
 
 
 def _automaton(patterns: list[tuple[bytes, list[str]]]) -> ahocorasick.Automaton:
@@ -116,11 +133,12 @@ def _scan(raw: bytes, automaton: ahocorasick.Automaton) -> tuple[int, list[dict]
 
 
 def _scanner(patterns: Broadcast):
-    @F.pandas_udf(_SCAN)
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_SCAN)
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(patterns.value)
         for batch in batches:
-            yield pd.DataFrame([_scan(raw, automaton) for raw in batch], columns=_SCAN.names)
+            rows = (_scan(raw.as_py(), automaton) for raw in batch)
+            yield pa.array([dict(zip(_SCAN.names, row)) for row in rows], _SCANNED)
 
     return scan
 
@@ -154,6 +172,7 @@ def find_contamination(
     ``automaton_bytes``, several automata scan all texts one after the other, and their spans are
     joined by document.
     """
+    docs = in_small_batches(docs)
     windows = settled(
         windows_of(items, width, item_col, item_text_col)
         .groupBy("window")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import free_names, raw_text
+from tidewater.llm.common import free_names, in_small_batches, raw_text
 from tidewater.llm.quality_rules import _CAPITALS, _MARKS, repeated_words
 
 FEATURES = (
@@ -222,7 +222,7 @@ def training_matrix(
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.dropna().groupBy("id").agg(F.max("label").alias("label"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(rows)
-    labelled = docs.select(F.col(id_col).alias("id"), raw_text(text_col).alias("raw")).join(
+    labelled = in_small_batches(docs).select(F.col(id_col).alias("id"), raw_text(text_col).alias("raw")).join(
         F.broadcast(sample), "id"
     )
 
@@ -256,7 +256,7 @@ def classify(docs: DataFrame, model: AdditiveModel, text_col: str = "text") -> D
     repeated rows come out as often; an empty table gives an empty table.
     """
     (s,) = free_names(docs, "_score")
-    scored = docs.withColumn(s, score_of(model, text_col))
+    scored = in_small_batches(docs).withColumn(s, score_of(model, text_col))
     predicted = F.when(F.col(s) >= THRESHOLD, 1).otherwise(0)
     return scored.withColumns({"score": F.col(s), "predicted": predicted}).drop(s)
 

@@ -11,12 +11,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import BLANKS, free_names, put_aside, raw_text, record
+from tidewater.llm.common import BLANKS, free_names, in_small_batches, put_aside, raw_text, record
 from tidewater.sources.checkpoint import settled
 
 # The symbols that the rules count.
@@ -79,10 +79,12 @@ def _counts(raw: bytes) -> tuple[int, ...]:
     )
 
 
-@F.pandas_udf(_COUNTED)
-def _text_counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(_COUNTED)
+def _text_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield pd.DataFrame([_counts(raw) for raw in batch], columns=_COUNTED.names, dtype="int64")
+        rows = np.array([_counts(raw.as_py()) for raw in batch], np.int64).reshape(-1, len(_COUNTED))
+        columns = [pa.array(np.ascontiguousarray(c)) for c in rows.T]
+        yield pa.StructArray.from_arrays(columns, names=_COUNTED.names)
 
 
 def text_counts(text_col: str = "text") -> Column:
@@ -169,22 +171,27 @@ def _concentrated(p: int, share: float | None, scale: float, floors: tuple[float
     """
     pairs = [(i, j) for i in range(p) for j in range(i + 1)]
 
-    def estimate(bins: pd.DataFrame) -> pd.DataFrame:
-        bins = bins.sort_values("bin")
+    def estimate(bins: pa.Table) -> pa.Table:
+        bins = bins.sort_by("bin")
         n = bins["n"].to_numpy()
         total = int(n.sum())
         used = len(n)
         if share is not None:
             used = int(np.searchsorted(np.cumsum(n), math.ceil(share * total))) + 1
-        moments = np.array(bins["moments"].to_list())[:used].sum(axis=0)
+        moments = np.array(bins["moments"].to_pylist(), np.float64)[:used].sum(axis=0)
         m = float(n[:used].sum())
         center = moments[:p] / m
         cov = np.zeros((p, p))
         for k, (i, j) in enumerate(pairs):
             cov[i, j] = cov[j, i] = moments[p + k] / m - center[i] * center[j]
         precision = np.linalg.inv(_floored(cov * scale, floors))
-        row = (bins["grp"].iloc[0], total, center.tolist(), precision.ravel().tolist())
-        return pd.DataFrame([row], columns=_ESTIMATE.names)
+        row = {
+            "grp": bins["grp"][0].as_py(),
+            "n": total,
+            "center": center.tolist(),
+            "precision": precision.ravel().tolist(),
+        }
+        return pa.Table.from_pylist([row])
 
     return estimate
 
@@ -236,7 +243,7 @@ def fit_outliers(vectors: DataFrame, features: tuple[str, ...], floors: tuple[fl
             near = near.filter(F.col("d2") <= within)
         bins = near.groupBy("grp", bin_of).agg(F.count(F.lit(1)).alias("n"), moments)
         estimate = _concentrated(p, share, scale, floors)
-        return settled(bins.groupBy("grp").applyInPandas(estimate, _ESTIMATE))
+        return settled(bins.groupBy("grp").applyInArrow(estimate, _ESTIMATE))
 
     # A normal cloud's nearest share has a smaller scatter than the cloud, by a known factor.
     inner = COVERAGE / chi2_share(p + 2, chi2_quantile(p, COVERAGE))
@@ -298,7 +305,7 @@ def judge(
 
 
 def with_counts(docs: DataFrame, s: str, text_col: str = "text") -> DataFrame:
-    return docs.withColumn(s, text_counts(text_col))
+    return in_small_batches(docs).withColumn(s, text_counts(text_col))
 
 
 def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -323,6 +330,6 @@ def keep_clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     aside, restored = put_aside(docs, ["base_failed", "distance", "kept"])
     (s,) = free_names(aside, "_counts")
-    slim = aside.select("lang", "source", text_counts(text_col).alias(s))
+    slim = with_counts(aside, s, text_col).select("lang", "source", s)
     estimates = fit(settled(slim), s)
     return judge(with_counts(aside, s, text_col), s, estimates).filter("kept").select(*restored)

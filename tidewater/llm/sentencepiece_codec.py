@@ -10,6 +10,7 @@ batch as a check.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -17,15 +18,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import free_names, record, text_of, worker_store
+from tidewater.llm.common import free_names, in_small_batches, record, text_of
 
-SPACE = "▁"  # the sign that stands for a space inside pieces
-CACHED_PARTS = 500_000  # parts whose ids a worker remembers
-TEXTS = 1024  # texts that are encoded together
+SIGN = "▁"  # stands for a space inside pieces and normalised texts
+SPACE = " "  # stands for that sign here: most texts then take a byte a character
+CACHED_PARTS = 250_000  # parts whose ids a task remembers
+TEXTS = 512  # texts that are encoded together at most
+BLOCK_BYTES = 4_000_000
 SHORT = 32  # characters of a part that is merged in a matrix
 NONE = np.int32(2**31 - 1)
 
@@ -37,10 +41,10 @@ class PairTable:
 
     BITS = 20
 
-    def __init__(self, pairs: dict[tuple[int, int], int], width: int) -> None:
+    def __init__(self, left: array, right: array, made: array, width: int) -> None:
         self.width = np.int64(width)
-        keys = np.array([a * width + b for a, b in pairs], np.int64)
-        made = np.array(list(pairs.values()), np.int32)
+        keys = np.asarray(left, np.int64) * width + np.asarray(right, np.int64)
+        made = np.asarray(made, np.int32)
         order = np.argsort(keys)
         self.sorted_keys, self.sorted_made = keys[order], made[order]
         slots = self._slots(keys)
@@ -89,7 +93,7 @@ class Merger:
         if any(model.is_unused(i) for i in every):
             raise ValueError("Vocabularies with unused pieces are not supported")
         special = {i for i in every if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
-        self.ids = {model.id_to_piece(i): i for i in every if i not in special}
+        self.ids = {model.id_to_piece(i).replace(SIGN, SPACE): i for i in every if i not in special}
         # Equal scores share a rank, so that the leftmost of equals goes first.
         scores = sorted({model.get_score(i) for i in self.ids.values()}, reverse=True)
         place = {score: r for r, score in enumerate(scores)}
@@ -102,13 +106,14 @@ class Merger:
         symbols = [*self.ids, *sorted({c for p in self.ids for c in p} - set(self.ids))]
         number = {s: k for k, s in enumerate(symbols)}
         self.width = len(symbols)
-        pairs = {
-            (number[p[:k]], number[p[k:]]): number[p]
-            for p in self.ids
-            for k in range(1, len(p))
-            if p[:k] in number and p[k:] in number
-        }
-        self.table = PairTable(pairs, self.width + 1)
+        left, right, made = array("i"), array("i"), array("i")
+        for p in self.ids:
+            for k in range(1, len(p)):
+                if p[:k] in number and p[k:] in number:
+                    left.append(number[p[:k]])
+                    right.append(number[p[k:]])
+                    made.append(number[p])
+        self.table = PairTable(left, right, made, self.width + 1)
         self.ranks = np.array([self.rank.get(s, NONE) for s in symbols], np.int64)
         self.char = np.full(0x110000, -1, np.int32)
         for s, k in number.items():
@@ -122,7 +127,8 @@ class Merger:
     def _ids_of(self, symbol: str) -> list[int]:
         if symbol in self.ids:
             return [self.ids[symbol]]
-        return [self.bytes[b] for b in symbol.encode()] if self.bytes else [self.unknown]
+        written = symbol.replace(SPACE, SIGN)
+        return [self.bytes[b] for b in written.encode()] if self.bytes else [self.unknown]
 
     def forget(self) -> None:
         self.known = _Numbered()
@@ -258,7 +264,7 @@ class Merger:
 
     def encode_all(self, normals: list[str]) -> list[np.ndarray]:
         """The ids of each normalised text."""
-        cut = [self.parts.findall(text) for text in normals]
+        cut = [self.parts.findall(text.replace(SIGN, SPACE)) for text in normals]
         parts = list(chain.from_iterable(cut))
         if not parts:
             return [np.zeros(0, np.int32) for _ in normals]
@@ -283,6 +289,19 @@ class Merger:
         return ids[~(unknown & np.concatenate(([False], unknown[:-1])))] if len(ids) else ids
 
 
+def _blocks(batch: pa.Array) -> Iterator[pa.Array]:
+    """The batch in blocks of a bounded number of texts and, but for one long text, of bytes."""
+    sizes = pc.binary_length(batch).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > start and (k - start == TEXTS or held + size > BLOCK_BYTES):
+            yield batch[start:k]
+            start, held = k, 0
+        held += size
+    if len(batch) > start:
+        yield batch[start:]
+
+
 def coded(model_path: str, text: Column, decode: bool = True) -> Column:
     """Struct (ids, decoded, agrees) of a text column; ``model_path`` is a file on every worker."""
 
@@ -290,27 +309,21 @@ def coded(model_path: str, text: Column, decode: bool = True) -> Column:
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import sentencepiece
 
-        store = worker_store()
-        if model_path not in store:
-            model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-            store[model_path] = model, Merger(model)
-        model, merger = store[model_path]
-        end = np.array([model.eos_id()], np.int32)
-        for batch in batches:
-            sizes, ids, texts, agrees = [0], [], [], []
-            for k in range(0, len(batch), TEXTS):
-                given = batch[k : k + TEXTS].to_pylist()
-                # An empty text has no pieces, where a normalised one may begin with a space.
-                normal = [model.normalize(text) if text else "" for text in given]
-                for text, own in zip(given, merger.encode_all(normal)):
-                    own = np.concatenate((own, end))
-                    agrees.append(np.array_equal(own, model.encode_as_numpy(text, add_eos=True)))
-                    ids.append(own)
-                    sizes.append(len(own))
-                    texts.append(model.decode(own.tolist()) if decode else None)
+        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        merger, end = Merger(model), np.array([model.eos_id()], np.int32)
+        # Results leave block by block, so a worker holds those of one block only.
+        for given in (block.to_pylist() for batch in batches for block in _blocks(batch)):
+            sizes, ids, texts, agrees = [0], [np.zeros(0, np.int32)], [], []
+            # An empty text has no pieces, where a normalised one may begin with a space.
+            normal = [model.normalize(text) if text else "" for text in given]
+            for text, own in zip(given, merger.encode_all(normal)):
+                own = np.concatenate((own, end))
+                agrees.append(np.array_equal(own, model.encode_as_numpy(text, add_eos=True)))
+                ids.append(own)
+                sizes.append(len(own))
+                texts.append(model.decode(own.tolist()) if decode else None)
             lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum(sizes), pa.int32()),
-                pa.array(np.concatenate([np.zeros(0, np.int32), *ids])),
+                pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(ids))
             )
             yield pa.StructArray.from_arrays(
                 [lists, pa.array(texts, pa.string()), pa.array(agrees, pa.bool_())], names=_CODED.names
@@ -329,5 +342,5 @@ def tokenize(docs: DataFrame, model_path: str, text_col: str = "text", decode: b
     texts of any length are encoded whole, and memory holds one Arrow batch and a bounded cache.
     """
     (s,) = free_names(docs, "_coded")
-    done = docs.withColumn(s, coded(model_path, text_of(text_col), decode))
+    done = in_small_batches(docs).withColumn(s, coded(model_path, text_of(text_col), decode))
     return done.withColumns({c: F.col(f"{s}.{c}") for c in _CODED.names}).drop(s)

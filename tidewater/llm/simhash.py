@@ -13,14 +13,23 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tidewater.llm.common import LAST_ID, LOWER, free_names, id_of, raw_text, record, text_of
+from tidewater.llm.common import (
+    LAST_ID,
+    LOWER,
+    free_names,
+    id_of,
+    in_small_batches,
+    raw_text,
+    record,
+    text_of,
+)
 from tidewater.llm.components import connected_components
 from tidewater.sources.checkpoint import settled
 
@@ -57,11 +66,11 @@ def _fingerprint(raw: bytes, width: int) -> int:
 def fingerprint_of(text_col: str = "text", width: int = SHINGLE_WORDS) -> Column:
     """The text's fingerprint as a bigint (its 64 bits), 0 for a text without words or null."""
 
-    @F.pandas_udf(T.LongType())
-    def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.LongType())
+    def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = np.fromiter((_fingerprint(raw, width) for raw in batch), np.uint64, len(batch))
-            yield pd.Series(found.view(np.int64))
+            found = (_fingerprint(raw.as_py(), width) for raw in batch)
+            yield pa.array(np.fromiter(found, np.uint64, len(batch)).view(np.int64))
 
     return fingerprints(raw_text(text_col))
 
@@ -102,9 +111,9 @@ def choose_cuts(sample: np.ndarray, rows: int, bits: int) -> list[tuple[int, int
 
 
 def _routes(cuts: list[tuple[int, int]], bits: int):
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = batch["fp"].to_numpy().view(np.uint64)
+            points = np.asarray(batch["fp"]).view(np.uint64)
             shard = np.zeros(len(points), np.int64)
             for vantage, radius in cuts:
                 d = distance(points, np.uint64(vantage))
@@ -112,7 +121,7 @@ def _routes(cuts: list[tuple[int, int]], bits: int):
                 both = outer & (d <= radius + bits)
                 shard = np.concatenate([2 * shard + outer, 2 * shard[both]])
                 points = np.concatenate([points, points[both]])
-            yield pd.DataFrame({"shard": shard, "fp": points.view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"shard": shard, "fp": points.view(np.int64)})
 
     return route
 
@@ -207,7 +216,7 @@ def link_edges(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     sampled = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
     sample = np.array([r.fp for r in sampled], np.int64).view(np.uint64)
     cuts = choose_cuts(sample, rows, bits)
-    routed = prints.mapInPandas(_routes(cuts, bits), record(shard=T.LongType(), fp=T.LongType()))
+    routed = prints.mapInArrow(_routes(cuts, bits), record(shard=T.LongType(), fp=T.LongType()))
     routed = settled(routed)
 
     sizes = routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
@@ -225,21 +234,20 @@ def link_edges(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
         "fp",
     )
 
-    def search(group: pd.DataFrame) -> pd.DataFrame:
+    def search(group: pa.Table) -> pa.Table:
         points = np.unique(group["fp"].to_numpy()).view(np.uint64)
         edges = np.array(near_edges(points, bits), np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"u": edges[:, 0], "v": edges[:, 1]})
+        return pa.table({"u": edges[:, 0].copy(), "v": edges[:, 1].copy()})
 
-    found = tasks.groupBy("shard", "one", "two").applyInPandas(
+    return tasks.groupBy("shard", "one", "two").applyInArrow(
         search, record(u=T.LongType(), v=T.LongType())
     )
-    return found
 
 
 def _grouped(docs: DataFrame, width: int, bits: int, id_col: str, text_col: str) -> DataFrame:
     """(doc, doc_id, version, fp, root, least) for every row; root names the component."""
     prints = settled(
-        docs.select(
+        in_small_batches(docs).select(
             id_of(id_col).alias("doc"),
             F.col(id_col).alias("doc_id"),
             F.xxhash64(text_of(text_col)).alias("version"),
