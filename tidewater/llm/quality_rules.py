@@ -35,6 +35,7 @@ REWEIGHT = 0.975  # share of clean rows that the final estimate uses
 CUTOFF = 1 - 1e-4  # share of clean rows within the accepted distance, were they normal
 MIN_GROUP = 200  # smaller groups are judged by their language, or by all texts
 BINS_PER_DOUBLING = 32
+SENT_GROUPS = 20_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _COUNTED = record(**{c: T.LongType() for c in (*COUNTS, "n_lines", "n_capitals", "n_marks")})
@@ -138,6 +139,15 @@ def chi2_share(p: int, x: float) -> float:
     return min(1.0, total * math.exp(-y + a * math.log(y) - math.lgamma(a)))
 
 
+def _beside(estimates: DataFrame) -> DataFrame:
+    """Kept estimates as the small side of a join: sent to all tasks up to a checked number.
+
+    One takes about half a kilobyte, so they are 10 MB at most. Beyond, Spark joins by shuffle and
+    splits hot groups.
+    """
+    return F.broadcast(estimates) if estimates.count() <= SENT_GROUPS else estimates
+
+
 def _levels(lang: Column, source: Column) -> list[Column]:
     """Group names from the narrowest to all texts; a missing value is a value of its own."""
     lang, source = F.to_json(F.array(lang)), F.to_json(F.array(source))
@@ -219,7 +229,7 @@ def fit_outliers(vectors: DataFrame, features: tuple[str, ...], floors: tuple[fl
     spread = [F.median(F.abs(c - F.get(F.col("center"), F.lit(i)))) for i, c in enumerate(rounded)]
     deviations = [F.greatest(1.4826 * s, F.lit(floors[i])) for i, s in enumerate(spread)]
     start = (
-        vectors.join(settled(medians), "grp")
+        vectors.join(_beside(settled(medians)), "grp")
         .groupBy("grp", "n", "center")
         .agg(F.array(*deviations).alias("s"))
     )
@@ -236,7 +246,8 @@ def fit_outliers(vectors: DataFrame, features: tuple[str, ...], floors: tuple[fl
     bin_of = F.floor(F.log2(F.col("d2") + 1e-9) * BINS_PER_DOUBLING).cast("int").alias("bin")
 
     def step(found: DataFrame, share: float | None, scale: float, within: float | None) -> DataFrame:
-        near = vectors.join(found.select("grp", "center", "precision"), "grp").select(
+        known = _beside(found.select("grp", "center", "precision"))
+        near = vectors.join(known, "grp").select(
             "grp", *features, _distance(x, "center", "precision").alias("d2")
         )
         if within is not None:
@@ -271,15 +282,16 @@ def fit(counted: DataFrame, s: str, lang_col: str = "lang", source_col: str = "s
         F.explode(F.array("l0", "l1", "l2")).alias("grp"), *FEATURES
     )
     found = settled(fit_outliers(vectors, FEATURES, FLOORS))
-    groups = rows.groupBy("l0", "l1", "l2").agg(F.count(F.lit(1)).alias("n"))
-    out = groups
+    out = settled(rows.select("l0", "l1", "l2").distinct())
     for i in range(3):
         level = found.select(F.col("grp").alias(f"l{i}"), F.struct("n", "center", "precision").alias(f"e{i}"))
         out = out.join(level, f"l{i}", "left")
     chosen = F.when(F.col("e0.n") >= MIN_GROUP, F.col("e0"))
     chosen = chosen.when(F.col("e1.n") >= MIN_GROUP, F.col("e1")).otherwise(F.col("e2"))
-    return out.select(
-        F.col("l0").alias("grp"), chosen["center"].alias("center"), chosen["precision"].alias("precision")
+    return settled(
+        out.select(
+            F.col("l0").alias("grp"), chosen["center"].alias("center"), chosen["precision"].alias("precision")
+        )
     )
 
 
@@ -292,7 +304,7 @@ def judge(
         F.col("grp").alias(grp), F.col("center").alias(center), F.col("precision").alias(precision)
     )
     level = _levels(F.col(lang_col), F.col(source_col))[0]
-    joined = counted.withColumn(grp, level).join(known, grp, "left")
+    joined = counted.withColumn(grp, level).join(_beside(known), grp, "left")
     distance = _distance(_features(s), center, precision)
     limit = chi2_quantile(len(FEATURES), CUTOFF)
     return (

@@ -28,7 +28,7 @@ from tidewater.llm.common import free_names, in_small_batches, record, text_of
 SIGN = "▁"  # stands for a space inside pieces and normalised texts
 SPACE = " "  # stands for that sign here: most texts then take a byte a character
 CACHED_PARTS = 250_000  # parts whose ids a task remembers
-TEXTS = 512  # texts that are encoded together at most
+TEXTS = 1024  # texts that are encoded together at most
 BLOCK_BYTES = 4_000_000
 SHORT = 32  # characters of a part that is merged in a matrix
 NONE = np.int32(2**31 - 1)
