@@ -28,7 +28,7 @@ from tidewater.llm.common import free_names, in_small_batches, record, text_of
 SIGN = "▁"  # stands for a space inside pieces and normalised texts
 SPACE = " "  # stands for that sign here: most texts then take a byte a character
 CACHED_PARTS = 250_000  # parts whose ids a task remembers
-TEXTS = 1024  # texts that are encoded together at most
+TEXTS = 768  # texts that are encoded together at most
 BLOCK_BYTES = 4_000_000
 SHORT = 32  # characters of a part that is merged in a matrix
 NONE = np.int32(2**31 - 1)
@@ -270,15 +270,18 @@ class Merger:
             return [np.zeros(0, np.int32) for _ in normals]
         if len(self.known) > CACHED_PARTS:
             self.forget()
-        codes = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        codes = np.fromiter(map(self.known.__getitem__, parts), np.int32, len(parts))
+        per_text = np.cumsum([len(c) for c in cut])
+        del parts, cut  # the largest things here
         if self.known.fresh:
             self._learn(self.known.fresh)
             self.known.fresh = []
         lengths = self.sizes[codes]
         ends = np.cumsum(lengths)
         # Every id's place in the pool: its part's start, and on from there.
-        ids = self.pool[np.repeat(self.starts[codes] - ends + lengths, lengths) + np.arange(ends[-1])]
-        per_text = np.cumsum([len(c) for c in cut])
+        places = np.repeat((self.starts[codes] - ends + lengths).astype(np.int32), lengths)
+        places += np.arange(ends[-1], dtype=np.int32)
+        ids = self.pool[places]
         bounds = np.concatenate(([0], ends))[per_text]
         found = np.split(ids, bounds[:-1])
         return found if self.bytes else [self._joined_unknowns(x) for x in found]
