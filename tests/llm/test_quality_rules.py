@@ -73,6 +73,22 @@ def test_estimate_resists_outliers_and_equals_brute_force(spark):
     assert np.abs(np.array(found["g"].center) - [1, 2, 3]).max() < 0.2
 
 
+def test_a_third_of_equal_outliers_is_rejected(spark):
+    rng = np.random.default_rng(5)
+    clean = rng.normal(0, 1, (600, 7))
+    x = np.concatenate([clean, np.tile([40.0, -40, 30, 30, -30, 40, 40], (300, 1))])
+    names = tuple("abcdefg")
+    rows = [("g", *map(float, row)) for row in x]
+    df = spark.createDataFrame(rows, "grp string, " + ", ".join(f"{c} double" for c in names))
+    (r,) = quality_rules.fit_outliers(df, names, (0.1,) * 7).collect()
+    d = x - np.array(r.center)
+    far = np.einsum("ni,ij,nj->n", d, np.array(r.precision).reshape(7, 7), d) > quality_rules.chi2_quantile(
+        7, quality_rules.CUTOFF
+    )
+    assert far[600:].all() and far[:600].mean() < 0.01
+    assert np.abs(r.center).max() < 0.2
+
+
 def test_chi_square():
     # From published tables.
     for p, share, value in ((1, 0.95, 3.8415), (5, 0.975, 12.8325), (10, 0.99, 23.2093)):

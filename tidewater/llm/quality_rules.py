@@ -29,7 +29,7 @@ FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "capi
 # Least standard deviation of each feature. Most texts have no symbol and no repeated line, so
 # their scatter alone would make any text that has one an outlier.
 FLOORS = (0.5, 0.1, 0.35, 0.25, 0.25, 0.25, 0.35)
-COVERAGE = 0.75  # share of a group that the estimate is concentrated on
+COVERAGE = 0.5  # share of a group that the estimate is concentrated on
 STEPS = 6
 REWEIGHT = 0.975  # share of clean rows that the final estimate uses
 CUTOFF = 1 - 1e-4  # share of clean rows within the accepted distance, were they normal
@@ -176,8 +176,9 @@ _ESTIMATE = record(
 def _concentrated(p: int, share: float | None, scale: float, floors: tuple[float, ...]):
     """The function that turns one group's moments per distance bin into an estimate.
 
-    Bins are taken from the centre outwards until they hold ``share`` of the rows; all of them
-    when it is None. A group has at most a few thousand bins, whatever its size.
+    Bins are taken from the centre outwards until they hold ``share`` of the rows, of the last one
+    only the part that is missing, so equal rows never enter beyond the share; all bins when it
+    is None. A group has at most a few thousand bins, whatever its size.
     """
     pairs = [(i, j) for i in range(p) for j in range(i + 1)]
 
@@ -185,11 +186,11 @@ def _concentrated(p: int, share: float | None, scale: float, floors: tuple[float
         bins = bins.sort_by("bin")
         n = bins["n"].to_numpy()
         total = int(n.sum())
-        used = len(n)
+        part = np.ones(len(n))
         if share is not None:
-            used = int(np.searchsorted(np.cumsum(n), math.ceil(share * total))) + 1
-        moments = np.array(bins["moments"].to_pylist(), np.float64)[:used].sum(axis=0)
-        m = float(n[:used].sum())
+            part = np.clip((math.ceil(share * total) - (np.cumsum(n) - n)) / n, 0.0, 1.0)
+        moments = part @ np.array(bins["moments"].to_pylist(), np.float64)
+        m = float(part @ n)
         center = moments[:p] / m
         cov = np.zeros((p, p))
         for k, (i, j) in enumerate(pairs):
