@@ -111,6 +111,37 @@ def test_small_groups_take_a_wider_estimate(documents):
     assert all(len(r.center) == len(quality_rules.FEATURES) for r in found)
 
 
+def counted_rows(rng, source, n, words, symbols):
+    """Rows (lang, source, counts) of texts of one kind."""
+    out = []
+    for _ in range(n):
+        w = int(words * rng.lognormal(0, 0.2))
+        c = (w, int(5 * w * rng.normal(1, 0.03)), int(w * symbols * rng.lognormal(0, 0.2)), 0, 0)
+        out.append(("en", source, (*c, 10, w // 5, w // 6)))
+    return out
+
+
+def test_a_small_source_has_its_own_estimate(spark):
+    rng = np.random.default_rng(4)
+    prose, tables = counted_rows(rng, "prose", 1500, 300, 0.0), counted_rows(rng, "tables", 200, 60, 3.0)
+    schema = "lang string, source string, s struct<" + ", ".join(
+        f"{c}: long" for c in quality_rules._COUNTED.names
+    ) + ">"
+    found = {}
+    for n in (150, 199, 200):
+        strays = [("en", "tables", c) for _, _, c in prose[:5]]
+        df = spark.createDataFrame(prose + tables[: n - 5] + strays, schema)
+        estimates = quality_rules.fit(df, "s").collect()
+        (found[n],) = [r for r in estimates if "tables" in r.grp]
+        judged = quality_rules.judge(df, "s", spark.createDataFrame(estimates)).filter("source = 'tables'")
+        tabular = F.col("s.n_symbols") > 0
+        good, strays_kept = judged.agg(
+            F.count_if(F.col("kept") & tabular), F.count_if(F.col("kept") & ~tabular)
+        ).first()
+        assert good >= 0.98 * (n - 5) and strays_kept == 0
+    assert np.abs(np.subtract(found[199].center, found[200].center)).max() < 0.05
+
+
 def test_clashing_columns(odd):
     clashing = odd.withColumns({c: F.lit("x") for c in ("kept", "distance", "base_failed", "n_words", "_counts", "grp")})
     kept = quality_rules.keep_clean(clashing)

@@ -33,7 +33,6 @@ COVERAGE = 0.5  # share of a group that the estimate is concentrated on
 STEPS = 6
 REWEIGHT = 0.975  # share of clean rows that the final estimate uses
 CUTOFF = 1 - 1e-4  # share of clean rows within the accepted distance, were they normal
-MIN_GROUP = 200  # smaller groups are judged by their language, or by all texts
 BINS_PER_DOUBLING = 32
 SENT_GROUPS = 20_000
 
@@ -266,12 +265,47 @@ def fit_outliers(vectors: DataFrame, features: tuple[str, ...], floors: tuple[fl
     return last.drop("n").join(found.select("grp", "n"), "grp")
 
 
+def _shrunk(p: int):
+    """The function that draws the estimates of each row's levels toward the wider ones.
+
+    The weight of a group of n is n / (n + p) for its centre and n / (n + the number of centre and
+    scatter values) for its scatter: no number of texts switches from one estimate to another. The
+    square of the step that the centre was drawn is added to the scatter.
+    """
+    values = p * (p + 3) / 2
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                center = None
+                for e in (row["e2"], row["e1"], row["e0"]):
+                    if e is None:
+                        continue
+                    own = np.array(e["center"])
+                    scatter = np.linalg.inv(np.array(e["precision"]).reshape(p, p))
+                    if center is None:
+                        center, cov = own, scatter
+                        continue
+                    n = e["n"]
+                    drawn = (center - own) * p / (n + p)
+                    cov = (n * scatter + values * cov) / (n + values) + np.outer(drawn, drawn)
+                    center = own + drawn
+                if center is not None:
+                    precision = np.linalg.inv(cov).ravel().tolist()
+                    rows.append({"grp": row["l0"], "center": center.tolist(), "precision": precision})
+            schema = pa.schema([("grp", pa.string()), *[(c, pa.list_(pa.float64())) for c in ("center", "precision")]])
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return shrink
+
+
 def fit(counted: DataFrame, s: str, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Estimates per (lang, source): (grp, center, precision), grp being the narrowest group.
 
     ``counted`` holds the counts in column ``s``. Texts that fail the fixed limits are left out.
-    A group of fewer than ``MIN_GROUP`` texts takes its language's estimate, and a language of
-    fewer takes that of all texts.
+    Every group has its own estimate, drawn toward its language's and that toward the one of all
+    texts, by less the more texts it has.
     """
     levels = _levels(F.col(lang_col), F.col(source_col))
     x = _features(s)
@@ -287,13 +321,8 @@ def fit(counted: DataFrame, s: str, lang_col: str = "lang", source_col: str = "s
     for i in range(3):
         level = found.select(F.col("grp").alias(f"l{i}"), F.struct("n", "center", "precision").alias(f"e{i}"))
         out = out.join(level, f"l{i}", "left")
-    chosen = F.when(F.col("e0.n") >= MIN_GROUP, F.col("e0"))
-    chosen = chosen.when(F.col("e1.n") >= MIN_GROUP, F.col("e1")).otherwise(F.col("e2"))
-    return settled(
-        out.select(
-            F.col("l0").alias("grp"), chosen["center"].alias("center"), chosen["precision"].alias("precision")
-        )
-    )
+    known = T.StructType([_ESTIMATE[c] for c in ("grp", "center", "precision")])
+    return settled(out.select("l0", "e0", "e1", "e2").mapInArrow(_shrunk(len(FEATURES)), known))
 
 
 def judge(
