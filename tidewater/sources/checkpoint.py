@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +33,24 @@ def settled(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
+
+    Unlike a settled frame the result forgets how large Spark once guessed it to be. In a loop
+    that joins its own results those guesses multiply, until planning a step takes minutes.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster's file system; one that is gone does no harm."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
