@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.sources.checkpoint import settled
+from tidewater.sources.checkpoint import delete_folder, new_folder, settled, stored
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -45,14 +45,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     ends = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     loops = edges.filter("u = v").select(F.col("u").alias("node"), F.col("u").alias("root"))
-    now = settled(edges.filter("u <> v").select(*ends).distinct())
-    state = None
+    spark, folder = edges.sparkSession, new_folder(edges.sparkSession, "components")
+    now = stored(edges.filter("u <> v").select(*ends).distinct(), f"{folder}/0")
+    state, step = None, 0
     while True:
         found = now.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("bigint"))).first()
         if found[0] == 0 or tuple(found) == state:
             break
         state = tuple(found)
-        now = settled(_small_star(settled(_large_star(now))))
+        large = stored(_large_star(now), f"{folder}/{step + 1}")
+        now = stored(_small_star(large), f"{folder}/{step + 2}")
+        for done in (step, step + 1):
+            delete_folder(spark, f"{folder}/{done}")
+        step += 2
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    return nodes.unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("root").alias("root"))
+    every = nodes.unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("root").alias("root"))
+    every = settled(every)
+    delete_folder(spark, folder)
+    return every

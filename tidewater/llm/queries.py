@@ -11,6 +11,7 @@ from tidewater.llm import (
     chat_format,
     decontaminate,
     line_dedup,
+    minhash,
     passages,
     quality_classifier,
     quality_rules,
@@ -126,6 +127,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
@@ -137,4 +142,5 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
 }
