@@ -49,5 +49,5 @@ def test_all_queries_are_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import (
     chat_format,
+    conversation_trie,
     decontaminate,
     line_dedup,
     minhash,
@@ -19,6 +20,7 @@ from tidewater.llm import (
     sentencepiece_codec,
     sharding,
     simhash,
+    spelling,
 )
 
 # The vocabulary file that the queries use, installed on every machine.
@@ -131,6 +133,17 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the given conversations, rebuilt so that groups of five share beginnings."""
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"), every=5, heads=9)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), slip_every=31).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
@@ -143,4 +156,6 @@ QUERIES: dict[str, Query] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
