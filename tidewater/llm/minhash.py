@@ -221,19 +221,19 @@ class _Join:
         )
         self.texts, self.sets = keyed, sets
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (u, v) whose whole sets are similar; sets are read for them alone."""
-        pairs = settled(pairs)
-        needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        chosen = self.classes.join(needed, "node").select("rep.doc", "rep.version", "node")
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, held): the whole sets of some classes, read from their documents again."""
+        chosen = self.classes.join(nodes.distinct(), "node").select("rep.doc", "rep.version", "node")
         # A repeated row gives one set.
-        held = (
+        return settled(
             self.texts.join(settled(chosen), ["doc", "version"])
             .select("node", self.sets("raw").alias("held"))
             .groupBy("node")
             .agg(F.first("held").alias("held"))
         )
-        held = settled(held)
+
+    def confirmed(self, pairs: DataFrame, held: DataFrame) -> DataFrame:
+        """Those of the pairs (u, v) whose whole sets are similar; ``held`` has the sets."""
         one = held.select(F.col("node").alias("u"), F.col("held").alias("a"))
         two = held.select(F.col("node").alias("v"), F.col("held").alias("b"))
         common = F.arrow_udf(_common, _LONG)("a", "b")
@@ -243,13 +243,36 @@ class _Join:
         )
         return counted.filter(100 * F.col("both") >= self.percent * (F.col("all") - F.col("both"))).select("u", "v")
 
+    def prefixes(self, held: DataFrame) -> DataFrame:
+        """(node, prefix): the rarest shingles of each set, so many that similar sets share one.
+
+        Of n shingles all but the least intersection, and one more, are a prefix under any order
+        of shingles; the rarest first tells most pairs apart that are not similar.
+        """
+
+        def unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for node, raw in zip(batch["node"].to_pylist(), batch["held"]):
+                    shingles = np.frombuffer(raw.as_py(), np.int64)
+                    nodes = np.full(len(shingles), node)
+                    yield pa.RecordBatch.from_pydict({"node": nodes, "shingle": shingles})
+
+        every = settled(held.mapInArrow(unfolded, record(node=_LONG, shingle=_LONG)))
+        counted = settled(every.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")))
+        ordered = F.array_sort(F.collect_list(F.struct("holders", "shingle")))
+        sorted_sets = every.join(counted, "shingle").groupBy("node").agg(ordered.alias("all"))
+        n = F.size("all")
+        length = n - F.ceil(n * self.percent / 100).cast("int") + 1
+        return settled(sorted_sets.select("node", F.slice("all", F.lit(1), length)["shingle"].alias("prefix")))
+
     def links(self) -> DataFrame:
         """Confirmed edges (u, v) with the components of all links between classes.
 
         First every class meets the nearest of its key groups' least classes, which joins what
         copies of one text have in common. Then groups that still hold several components are
-        searched in full, but for pairs that are joined already. A group is dealt into blocks
-        where it is large, so that a task holds a bounded number of rows.
+        searched in full, but for pairs that are joined already and for those whose rarest
+        shingles rule a link out. A group is dealt into blocks where it is large, so that a task
+        holds a bounded number of rows.
         """
         percent = self.percent
         keys = settled(self.classes.select("node", "sig").mapInArrow(_keyed, record(key=_LONG, node=_LONG)))
@@ -268,7 +291,9 @@ class _Join:
             .agg(F.min(F.struct("apart", "hub")).alias("best"))
             .select(F.col("node").alias("u"), F.col("best.hub").alias("v"))
         )
-        first = settled(self.confirmed(nearest))
+        nearest = settled(nearest)
+        ends = nearest.select(F.explode(F.array("u", "v")).alias("node"))
+        first = settled(self.confirmed(nearest, self.sets_of(ends)))
 
         rooted = settled(connected_components(first))
         placed = members.join(rooted, "node", "left").select(
@@ -311,7 +336,10 @@ class _Join:
             col = {c: np.asarray(group[c])[order] for c in ("key", "node", "comp", "n", "block")}
             col["sign"] = _symbols(group["sig"].combine_chunks())[order]
             one, two, k = (group[c][0].as_py() for c in ("one", "two", "k"))
+            rare = [frozenset(x) for x in group["prefix"].take(order).to_pylist()]
             for i, j in near_pairs(col, percent):
+                met = [not rare[a].isdisjoint(rare[b]) for a, b in zip(i.tolist(), j.tolist())]
+                i, j = i[met], j[met]
                 if k > 1:
                     # Pairs within block b belong to the task of b and b + 1, in the last one both.
                     b, c = col["block"][i], col["block"][j]
@@ -319,12 +347,14 @@ class _Join:
                     i, j = i[own], j[own]
                 yield pa.RecordBatch.from_pydict({"u": col["node"][i], "v": col["node"][j]})
 
+        held = self.sets_of(left.select("node"))
         pairs = (
             tasks.join(own, "node")
+            .join(self.prefixes(held), "node")
             .groupBy("bin", "large", "one", "two")
             .applyInArrow(search, record(u=_LONG, v=_LONG))
         )
-        return first.unionByName(self.confirmed(pairs))
+        return first.unionByName(self.confirmed(settled(pairs), held))
 
 
 def near_duplicates(
