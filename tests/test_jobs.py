@@ -1,12 +1,13 @@
 """Whole jobs over files: the daily run and the warehouse load."""
 
+import dataclasses
 import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import audit, constraints, finance, quality
+from tidewater.operators import audit, constraints, finance, quality, upsert
 from tidewater.plans import daily, derived, load
 from tidewater.schemas import (
     AUDIT_LOG,
@@ -68,7 +69,8 @@ def test_daily_run(spark, tmp_path):
         "null:order_id non_positive:throughput_uph out_of_range:defect_rate_pct"
     )
     log = read_table(spark, paths.audit, AUDIT_LOG).orderBy("log_id").collect()
-    assert sorted(r.log_id for r in log) == [1, 2, 3, 4]
+    first = (RUN_TS.date() - upsert.KEY_EPOCH).days << upsert.DAY_SHIFT
+    assert sorted(r.log_id - first for r in log) == [0, 1, 2, 3]
     by_step = {r.pipeline_step: r for r in log}
     wh = by_step["Quality Check: Warehouse"]
     assert (wh.records_in, wh.records_out, wh.records_rejected) == (5, 4, 1)
@@ -80,7 +82,7 @@ def test_daily_run(spark, tmp_path):
     # A rerun of the day without bad rows leaves no rejects of the first run.
     _, checked = daily.run_daily(spark, write_feeds(tmp_path, bad=False), LATER)
     assert quality.rejected(checked["warehouse"]).count() == 0
-    assert read_table(spark, paths.audit, AUDIT_LOG).agg(F.max("log_id")).first()[0] == 8
+    assert read_table(spark, paths.audit, AUDIT_LOG).agg(F.max("log_id")).first()[0] == first + 7
 
 
 def test_failed_run_is_logged(spark, tmp_path):
@@ -312,3 +314,101 @@ def test_audit_of_the_star_schema(spark, tmp_path):
         ("dim_region", "not_null", "region_name"): 1,
         ("fact_operations", "foreign_key", "region_key"): 1,
     }
+
+
+def test_log_appends_ask_their_own_date_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    days = [dt.date(2024, 7, d) for d in (1, 2, 3)]
+    entry = lambda day, step: audit.LogEntry(day, RUN_TS, step, "SUCCESS", 1, 1, 0)
+    audit.append_log(spark, [entry(d, "a") for d in days], path)
+    audit.append_log(spark, [entry(days[1], "b"), entry(days[1], "a")], path)
+    audit.append_log(spark, [], path)
+    log = read_table(spark, path, AUDIT_LOG)
+    rows = log.orderBy("log_id").collect()
+    assert [(r.run_date, r.pipeline_step) for r in rows] == [
+        (days[0], "a"), (days[1], "a"), (days[1], "a"), (days[1], "b"), (days[2], "a")
+    ]
+    assert len({r.log_id for r in rows}) == 5
+    plan = audit.logged_on(spark, path, days[1:2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan and "InMemoryFileIndex(1 paths)" in plan
+    # Two appends of one date that run after each other stay unique, whatever other dates hold.
+    assert log.filter(F.col("run_date") == days[1]).agg(F.count_distinct("log_id")).first()[0] == 3
+    assert {p.name for p in (tmp_path / "log").glob("run_date=*")} == {f"run_date={d}" for d in days}
+
+
+def api_pages(rows, per_page=2):
+    pages = [rows[i : i + per_page] for i in range(0, len(rows), per_page)]
+    return [
+        {"request_id": "r1", "page": n, "total_pages": len(pages), "data": page} for n, page in enumerate(pages, 1)
+    ]
+
+
+def api_record(n, shift="Day", **metrics):
+    held = {"throughput_uph": 120.5, "dock_delay_hrs": 0.5, "defect_rate_pct": 1, "inventory_accuracy_pct": 99,
+            "units_processed": 10 + n}
+    return {
+        "id": f"API-{n}", "date": f"2024-01-0{n}", "site": {"region": "Region 1", "shift": shift},
+        "metrics": held | metrics, "sla": {"hours": 20}, "cost": {"per_unit": 4.5},
+    }
+
+
+def test_day_with_three_sources(spark, tmp_path):
+    paths = write_feeds(tmp_path)
+    records = [api_record(1), api_record(2, "Night"), api_record(3, throughput_uph=-1), {"id": "API-4", "site": "down"}]
+    lines = [json.dumps(p) for p in api_pages(records)] + ['{"request_id": "r2", "page": 1, "da']
+    (tmp_path / "api.json").write_text("\n".join(lines) + "\n")
+    paths = dataclasses.replace(paths, api_json=str(tmp_path / "api.json"))
+    summary, checked = daily.run_daily(spark, paths, RUN_TS)
+    assert summary.first().steps == 6
+    bad = {r.unreadable_record: r.rejection_reason for r in quality.rejected(checked["api"]).collect()}
+    assert len(bad) == 3 and bad[None] == "non_positive:throughput_uph"
+    assert all(why.startswith("unreadable_record null:order_id") for text, why in bad.items() if text)
+
+    root, staging = paths.warehouse, str(tmp_path / "stage")
+    both = daily.accepted_warehouse(checked["warehouse"], RUN_TS).unionByName(daily.accepted_api(checked["api"], RUN_TS))
+    load.write_operations_staging(both, staging)
+    load.populate_dim_date(spark, root, *DAYS)
+    load.seed_dimensions(spark, staging, root)
+    # The API's first record has the key of a CSV row: one of them has to be chosen.
+    assert load.load_operations(spark, staging, root, RUN_TS, repeats="latest").first()[0] == 5
+    loaded = {r.record_source: r["count"] for r in facts(spark, root).groupBy("record_source").count().collect()}
+    assert loaded == {"warehouse_csv": 4, "api": 1}
+    log = {r.pipeline_step: r for r in read_table(spark, paths.audit, AUDIT_LOG).collect()}
+    told = log["Quality Check: API"]
+    assert (told.records_in, told.records_out, told.records_rejected, told.source_system) == (5, 2, 3, "api")
+
+
+def test_load_replaces_a_date_in_one_step(spark, tmp_path, monkeypatch):
+    """A load that breaks off before the switch leaves readers with the old rows, and can be rerun."""
+    from tidewater.sources import catalog
+
+    root = str(tmp_path / "dw")
+    path, _ = staged(spark, tmp_path, RUN_TS)
+    load.populate_dim_date(spark, root, *DAYS)
+    load.seed_dimensions(spark, path, root)
+    name = "facts_at_once"
+    run = dict(catalog_table=name, run_date=RUN_TS.date())
+    assert load.load_operations(spark, path, root, RUN_TS, **run).first()[0] == 4
+    old = sorted(map(str, spark.table(name).collect()))
+
+    path, _ = staged(spark, tmp_path, LATER, prices=(9.0, 9.5), bad=False)
+    with monkeypatch.context() as broken:
+        broken.setattr(catalog, "publish_version", lambda *a: (_ for _ in ()).throw(RuntimeError("driver gone")))
+        with pytest.raises(RuntimeError, match="driver gone"):
+            load.load_operations(spark, path, root, LATER, **run)
+    assert sorted(map(str, spark.table(name).collect())) == old
+    day = tmp_path / "dw" / "fact_operations" / f"pipeline_run_date={RUN_TS.date()}"
+    assert len(list(day.iterdir())) == 2  # the old rows and the ones that were never published
+
+    assert load.load_operations(spark, path, root, LATER, **run).first()[0] == 4
+    rows = catalog.run_rows(spark, name, RUN_TS.date())
+    assert {float(r.cost_per_unit) for r in rows.collect()} == {9.0, 9.5}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan
+    # Another date is a partition of its own; a date without rows is empty.
+    other = dict(run, run_date=NEXT_DAY.date())
+    load.load_operations(spark, path, root, NEXT_DAY, **other)
+    assert spark.table(name).count() == 8
+    catalog.replace_run_at_once(rows.limit(0), name, f"{root}/fact_operations", FACT_OPERATIONS, RUN_TS.date())
+    assert spark.table(name).count() == 4
+    spark.sql(f"DROP TABLE {name}")

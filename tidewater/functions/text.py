@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.numbers import column
+from tidewater.schemas import UNREADABLE
 
 # The texts that a text feed uses for "no value".
 MISSING_MARKERS = (
@@ -16,11 +17,14 @@ MISSING_MARKERS = (
 
 
 def markers_to_null(df: DataFrame) -> DataFrame:
-    """Turn every missing-value marker in a string column into null."""
+    """Turn every missing-value marker in a string column into null.
+
+    The text of an unreadable record stays, whatever it is.
+    """
     return df.select(
         *[
             F.when(~column(f.name).isin(*MISSING_MARKERS), column(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, T.StringType) and f.name != UNREADABLE
             else column(f.name)
             for f in df.schema.fields
         ]

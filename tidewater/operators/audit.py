@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewater.functions.numbers import ratio_pct
+from tidewater.operators.upsert import new_keys
 from tidewater.schemas import AUDIT_LOG, ddl
 from tidewater.sources.tables import append_rows, open_table
 
@@ -84,13 +85,29 @@ def run_log(log: DataFrame) -> DataFrame:
     )
 
 
+# The audit table is kept by run date, so that an append asks its own date only.
+LOG_PARTITION = ("run_date",)
+
+
+def logged_on(spark: SparkSession, path: str, days: Sequence[date]) -> DataFrame:
+    """The log entries of some run dates; other dates' files are not read."""
+    return open_table(spark, path, AUDIT_LOG, LOG_PARTITION).filter(F.col("run_date").isin(*days))
+
+
 def append_log(spark: SparkSession, entries: Sequence[LogEntry], path: str) -> None:
-    """Append log entries to the audit table, numbered on from its highest id."""
-    highest = open_table(spark, path, AUDIT_LOG).agg(F.max("log_id")).first()[0] or 0
-    # A handful of rows that the driver itself made, so one window over all of them is fine.
-    order = W.orderBy("run_timestamp", "pipeline_step")
-    numbered = log_frame(spark, entries).withColumn("log_id", F.row_number().over(order) + highest)
-    append_rows(numbered, path, AUDIT_LOG)
+    """Append log entries to the audit table, numbered on from their run date's highest id.
+
+    Ids lead with the run day, so dates never meet and the table's other dates are not read.
+    """
+    if not entries:
+        return
+    days = sorted({e.run_date for e in entries})
+    held = logged_on(spark, path, days).groupBy("run_date").agg(F.max("log_id").alias("held"))
+    # A handful of rows that the driver itself made, numbered date by date.
+    order = W.partitionBy("run_date").orderBy("run_timestamp", "pipeline_step")
+    ids = new_keys(F.col("run_date"), F.col("held"), F.row_number().over(order) - 1)
+    numbered = log_frame(spark, entries).join(held, "run_date", "left").withColumn("log_id", ids)
+    append_rows(numbered, path, AUDIT_LOG, LOG_PARTITION)
 
 
 def step_log(ingested: dict[str, tuple[str, DataFrame]]) -> DataFrame:

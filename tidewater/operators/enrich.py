@@ -54,7 +54,10 @@ def _stamped(df: DataFrame, source: str, run_ts: datetime | None) -> DataFrame:
 
 
 def enrich_warehouse(
-    df: DataFrame, config: EnrichConfig = EnrichConfig(), run_ts: datetime | None = None
+    df: DataFrame,
+    config: EnrichConfig = EnrichConfig(),
+    run_ts: datetime | None = None,
+    source: str = "warehouse_csv",
 ) -> DataFrame:
     """Calendar labels, flags, dock class, total cost and lineage of warehouse rows.
 
@@ -81,7 +84,7 @@ def enrich_warehouse(
             "below_benchmark": _holds(number(df, "throughput_uph") < config.benchmark_uph),
         }
     )
-    return _stamped(enriched, "warehouse_csv", run_ts)
+    return _stamped(enriched, source, run_ts)
 
 
 def enrich_finance(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.numbers import column, number, ratio_pct
 from tidewater.operators.rules import RuleSet
-from tidewater.schemas import UNREADABLE
+from tidewater.schemas import NUMBER_TYPES, PARSED, UNREADABLE, Table
 
 
 class MissingColumnsError(ValueError):
@@ -54,9 +54,14 @@ def failed_rules(
     return found
 
 
-def check(df: DataFrame, rules: RuleSet, require: bool = True) -> DataFrame:
+def check(
+    df: DataFrame, rules: RuleSet, require: bool = True, feed: Table | None = None
+) -> DataFrame:
     """Add ``rejected`` and ``rejection_reason`` (all failed rules in order, blank-separated).
 
+    With ``feed`` also ``parsed_numbers``, a struct of all the feed's number columns, which
+    ``typed`` and ``lossy_values`` then use instead of the text.
+
     Numbers and flags are columns of their own on the way, so that each is computed once per row
     however often it is used. Keep both halves with ``sources.tables.write_checked`` and split
     what it wrote: a filter on a frame that is not written is pushed below those columns, and
@@ -64,29 +69,32 @@ def check(df: DataFrame, rules: RuleSet, require: bool = True) -> DataFrame:
     """
     if require:
         require_columns(df, rules)
-    numeric = [c for c in dict.fromkeys((*rules.positive, *rules.ranges)) if c in df.columns]
+    numbers = [c for c, kind in (feed or {}).items() if kind in NUMBER_TYPES and c in df.columns]
+    numeric = [c for c in dict.fromkeys((*rules.positive, *rules.ranges, *numbers)) if c in df.columns]
     parsed = {c: f"_number_{i}" for i, c in enumerate(numeric)}
     numbered = df.select("*", *[number(df, c).alias(alias) for c, alias in parsed.items()])
     failed = failed_rules(df, rules, {c: F.col(alias) for c, alias in parsed.items()})
     flags = [F.col(f"_failed_{i}") for i in range(len(failed))]
     own = [column(c) for c in df.columns]
+    if numbers:
+        own.append(F.struct(*[F.col(parsed[c]).alias(c) for c in numbers]).alias(PARSED))
     flagged = numbered.select(*own, *[f.alias(f"_failed_{i}") for i, (_, f) in enumerate(failed)])
     reasons = [F.when(flag, F.lit(text)) for flag, (text, _) in zip(flags, failed, strict=True)]
     return flagged.select(
-        *own,
+        *[column(c) for c in flagged.columns[: len(own)]],
         reduce(Column.__or__, flags, F.lit(False)).alias("rejected"),
         F.concat_ws(" ", *reasons).alias("rejection_reason"),
     )
 
 
 def passed(checked: DataFrame) -> DataFrame:
-    """Accepted rows with the feed's own columns."""
+    """Accepted rows with the feed's own columns, and their parsed numbers if the check kept them."""
     return checked.filter(~F.col("rejected")).drop("rejected", "rejection_reason", UNREADABLE)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
     """Rejected rows, each once, with the reason."""
-    return checked.filter("rejected").drop("rejected")
+    return checked.filter("rejected").drop("rejected", PARSED)
 
 
 def stats(checked: DataFrame) -> DataFrame:

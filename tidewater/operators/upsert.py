@@ -100,15 +100,21 @@ def keep_one(rows: DataFrame, key: tuple[str, ...], order: list[Column]) -> Data
     return rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
-def new_fact_keys(run_date: date, held: Column, place: Column) -> Column:
-    """Unique keys for the rows that one run inserts, ``place`` being unique among them.
+def new_keys(run_date: Column, held: Column, place: Column) -> Column:
+    """Unique keys for the rows that one run date gains, ``place`` being unique among them.
 
     The run day leads, so keys of different days never meet and only the run's own partition has
     to be asked for the highest key ``held`` so far (null when there is none): no pass over the
     whole table. Numbers go on from it; gaps are normal.
     """
     start = F.coalesce(held.bitwiseAND(F.lit((1 << DAY_SHIFT) - 1)) + 1, F.lit(0).cast("bigint"))
-    return F.lit((run_date - KEY_EPOCH).days << DAY_SHIFT) + start + place
+    day = F.date_diff(run_date, F.lit(KEY_EPOCH)).cast("bigint")
+    return F.shiftleft(day, DAY_SHIFT) + start + place
+
+
+def new_fact_keys(run_date: date, held: Column, place: Column) -> Column:
+    """``new_keys`` of one run date."""
+    return new_keys(F.lit(run_date), held, place)
 
 
 def with_fact_keys(merged: DataFrame, target: DataFrame, run_date: date) -> DataFrame:

@@ -14,6 +14,7 @@ from tidewater.operators.audit import LogEntry, append_log, log_frame, run_log,
 from tidewater.operators.enrich import EnrichConfig, enrich_finance, enrich_warehouse
 from tidewater.operators.rules import rules_for
 from tidewater.schemas import FINANCE_FEED, WAREHOUSE_FEED, Table
+from tidewater.sources.api import read_api
 from tidewater.sources.readers import lossy_values, read_csv, read_json, typed
 from tidewater.sources.tables import checked_dir, export_csv, read_checked, write_checked
 
@@ -28,6 +29,9 @@ class DailyPaths:
     warehouse: str
     run_logs: str | None = None
     finance_is_array: bool = False
+    # Saved responses of the operations API, if the day has any.
+    api_json: str | None = None
+    api_is_files: bool = False
 
     @property
     def audit(self) -> str:
@@ -41,6 +45,13 @@ def accepted_warehouse(
     return enrich_warehouse(typed(quality.passed(checked), WAREHOUSE_FEED), config, run_ts)
 
 
+def accepted_api(
+    checked: DataFrame, run_ts: datetime | None = None, config: EnrichConfig = EnrichConfig()
+) -> DataFrame:
+    """Accepted records of the operations API; they have the warehouse rows' columns."""
+    return enrich_warehouse(typed(quality.passed(checked), WAREHOUSE_FEED), config, run_ts, "api")
+
+
 def accepted_finance(checked: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Accepted finance rows, typed and enriched."""
     return enrich_finance(typed(quality.passed(checked), FINANCE_FEED), run_ts)
@@ -91,9 +102,9 @@ def run_daily(
         return result
 
     def check_and_write(raw: DataFrame, source: str, feed: Table) -> tuple[dict, DataFrame]:
-        checked = quality.check(raw, rules_for(source))
+        checked = quality.check(raw, rules_for(source), feed=feed)
         target = checked_dir(paths.staging, source, run_date)
-        counts = write_checked(checked, target, lossy_values(raw, feed))
+        counts = write_checked(checked, target, lossy_values(checked, feed))
         return counts, read_checked(spark, target, checked.schema)
 
     def lossy(counts: dict) -> str | None:
@@ -116,6 +127,11 @@ def run_daily(
                 read_json(spark, paths.finance_json, FINANCE_FEED, paths.finance_is_array),
             ),
         )
+        api = paths.api_json and step(
+            "Transform: API JSON",
+            "api",
+            lambda: ({}, read_api(spark, paths.api_json, paths.api_is_files)),
+        )
         checked = {
             "warehouse": step(
                 "Quality Check: Warehouse",
@@ -128,6 +144,10 @@ def run_daily(
                 lambda: check_and_write(finance, "finance", FINANCE_FEED),
             ),
         }
+        if api:
+            checked["api"] = step(
+                "Quality Check: API", "api", lambda: check_and_write(api, "api", WAREHOUSE_FEED)
+            )
     finally:
         append_log(spark, entries, paths.audit)
         log = log_frame(spark, entries)

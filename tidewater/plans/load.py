@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import money
 from tidewater.operators import constraints, dimensions, finance, upsert
-from tidewater.operators.audit import LogEntry, append_log
+from tidewater.operators.audit import LOG_PARTITION, LogEntry, append_log
 from tidewater.operators.keys import kept_with_places
 from tidewater.schemas import (
     AUDIT_LOG,
@@ -25,6 +25,7 @@ from tidewater.schemas import (
     Table,
     conform,
 )
+from tidewater.sources.catalog import open_run_table, replace_run_at_once
 from tidewater.sources.checkpoint import settled
 from tidewater.sources.readers import read_csv
 from tidewater.sources.tables import (
@@ -77,7 +78,7 @@ def create_star_schema(spark: SparkSession, root: str) -> None:
     read_dimensions(spark, root)
     for name, table in FACTS.items():
         open_table(spark, f"{root}/{name}", table, RUN_PARTITION)
-    open_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG)
+    open_table(spark, f"{root}/pipeline_audit_log", AUDIT_LOG, LOG_PARTITION)
 
 
 def populate_dim_date(
@@ -137,10 +138,13 @@ def load_operations(
     run_date: date | None = None,
     repeats: str = "fail",
     ignore_case: bool = False,
+    catalog_table: str | None = None,
 ) -> DataFrame:
     """Upsert a staging table into ``fact_operations`` for one run date; returns the row count.
 
-    Only the run date's partition is read and replaced. ``repeats`` says what to do when staging
+    Only the run date's partition is read and replaced. With ``catalog_table`` the facts are that
+    table of the session's catalog, below the same path, and the date is replaced in one step, which
+    a driver crash cannot break in two. ``repeats`` says what to do when staging
     repeats a key that the table holds: ``fail`` (nothing is written), or ``latest``, which
     loads only the row with the highest order id of each key. Without ``run_date`` the run
     counts for the day of ``run_ts``.
@@ -151,7 +155,10 @@ def load_operations(
     path = f"{root}/fact_operations"
 
     def work() -> int:
-        target = open_table(spark, path, FACT_OPERATIONS, RUN_PARTITION)
+        if catalog_table:
+            target = open_run_table(spark, catalog_table, path, FACT_OPERATIONS)
+        else:
+            target = open_table(spark, path, FACT_OPERATIONS, RUN_PARTITION)
         target = target.filter(F.col("pipeline_run_date") == F.lit(run_date))
         staging = read_table(spark, staging_path, STAGED)
         dims = read_dimensions(spark, root)
@@ -163,7 +170,10 @@ def load_operations(
         counted = upsert.stamped(merged, run_ts).observe(
             seen, F.count_if(F.col("action") != "keep").alias("records_loaded")
         )
-        replace_run(counted, path, FACT_OPERATIONS, run_date)
+        if catalog_table:
+            replace_run_at_once(counted, catalog_table, path, FACT_OPERATIONS, run_date)
+        else:
+            replace_run(counted, path, FACT_OPERATIONS, run_date)
         return seen.get["records_loaded"]
 
     try:
@@ -265,7 +275,7 @@ def audit_star_schema(spark: SparkSession, root: str) -> DataFrame:
     with all their rows; empty when everything holds. Facts are reduced in the scanning tasks.
     """
     tables = {**DIMENSIONS, **FACTS, "pipeline_audit_log": AUDIT_LOG}
-    partitions = dict.fromkeys(FACTS, RUN_PARTITION)
+    partitions = {**dict.fromkeys(FACTS, RUN_PARTITION), "pipeline_audit_log": LOG_PARTITION}
     held = {
         name: open_table(spark, f"{root}/{name}", table, partitions.get(name, ()))
         for name, table in tables.items()

@@ -18,6 +18,9 @@ Table = dict[str, str]
 # Column for the whole text of a record that its reader could not parse, or whose number of
 # values is wrong.
 UNREADABLE = "unreadable_record"
+# Struct of a checked row's numbers, so that accepted text is not parsed again.
+PARSED = "parsed_numbers"
+NUMBER_TYPES = ("double", "int", "bigint")
 
 # The feeds' and tables' columns, in their order, with their types.
 
@@ -44,6 +47,34 @@ FINANCE_FEED: Table = {
     "record_type": "string",
 }
 
+# A saved response of the operations API, and where a record of it holds the warehouse feed's
+# columns. Our own layout, since only the source's name is given.
+API_PAGE: Table = {
+    "request_id": "string",
+    "page": "string",
+    "total_pages": "string",
+    "data": "array<string>",
+}
+API_RECORD = (
+    "id string, date string, site struct<region: string, shift: string>,"
+    " metrics struct<throughput_uph: string, dock_delay_hrs: string, defect_rate_pct: string,"
+    " inventory_accuracy_pct: string, units_processed: string>,"
+    " sla struct<hours: string>, cost struct<per_unit: string>"
+)
+API_PATHS = {
+    "order_id": "id",
+    "order_date": "date",
+    "region": "site.region",
+    "shift": "site.shift",
+    "throughput_uph": "metrics.throughput_uph",
+    "dock_delay_hrs": "metrics.dock_delay_hrs",
+    "defect_rate_pct": "metrics.defect_rate_pct",
+    "inventory_accuracy_pct": "metrics.inventory_accuracy_pct",
+    "sla_hours": "sla.hours",
+    "units_processed": "metrics.units_processed",
+    "cost_per_unit": "cost.per_unit",
+}
+
 STAGING_OPERATIONS: Table = {
     "order_id": "varchar(20)",
     "order_date": "date",
@@ -155,6 +186,18 @@ AUDIT_LOG: Table = {
     "inserted_at": "timestamp_ntz",
 }
 
+RUN_LOG: Table = {
+    "run_date": "date",
+    "run_timestamp": "timestamp_ntz",
+    "step": "string",
+    "status": "string",
+    "records_in": "bigint",
+    "records_out": "bigint",
+    "records_rejected": "bigint",
+    "duration_sec": "double",
+    "error": "string",
+}
+
 # Keys, mandatory columns and references, checked by audit jobs instead of at write time.
 PRIMARY_KEYS = {
     "dim_date": "date_key",

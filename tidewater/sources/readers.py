@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.numbers import column, number
 from tidewater.functions.text import markers_to_null
-from tidewater.schemas import UNREADABLE, Table, spark_type
+from tidewater.schemas import NUMBER_TYPES, PARSED, UNREADABLE, Table, spark_type
 
 LANDING_DAY = r"/(\d{4}/\d{2}/\d{2})/"
 
@@ -104,6 +104,13 @@ def read_landing_json(
     return markers_to_null(with_landing_date(text))
 
 
+def _numbers(df: DataFrame, table: Table) -> dict[str, Column]:
+    """The feed's number columns as numbers: those that the check parsed, else parsed here."""
+    held = set(df.schema[PARSED].dataType.names) if PARSED in df.columns else set()
+    names = [c for c in df.columns if spark_type(table.get(c, "string")) in NUMBER_TYPES]
+    return {c: F.col(PARSED)[c] if c in held else number(df, c) for c in names}
+
+
 def typed(df: DataFrame, table: Table) -> DataFrame:
     """Accepted text rows cast to the feed's types; columns the feed does not name are kept.
 
@@ -112,13 +119,14 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
     and logs them. Dates raise when they cannot be read.
     """
     casts = {}
+    numbers = _numbers(df, table)
     for name in df.columns:
         kind = spark_type(table.get(name, "string"))
-        if kind in ("double", "int", "bigint"):
-            casts[name] = number(df, name).cast(kind)
+        if name in numbers:
+            casts[name] = numbers[name].cast(kind)
         elif name in table:
             casts[name] = column(name).cast(kind)
-        else:
+        elif name != PARSED:
             casts[name] = column(name)
     return df.select(*[c.alias(name) for name, c in casts.items()])
 
@@ -126,12 +134,9 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
 def lossy_values(df: DataFrame, table: Table) -> dict[str, Column]:
     """Per number column of the feed, whether a row's text holds more than ``typed`` keeps of it."""
     flags = {}
-    for name in df.columns:
-        kind = spark_type(table.get(name, "string"))
-        if kind in ("double", "int", "bigint"):
-            value = number(df, name)
-            lost = column(name).isNotNull() & value.isNull()
-            if kind != "double":
-                lost |= F.coalesce(value != F.floor(value), F.lit(False))
-            flags[name] = lost
+    for name, value in _numbers(df, table).items():
+        lost = column(name).isNotNull() & value.isNull()
+        if spark_type(table[name]) != "double":
+            lost |= F.coalesce(value != F.floor(value), F.lit(False))
+        flags[name] = lost
     return flags

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.schemas import Table, conform, ddl
+from tidewater.schemas import RUN_LOG, Table, conform, ddl
 
 
 def checked_dir(root: str, source: str, run_date: date) -> str:
@@ -79,8 +79,11 @@ def open_table(
     return read_table(spark, path, table)
 
 
-def append_rows(df: DataFrame, path: str, table: Table) -> None:
-    conform(df, table).write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, table: Table, partition_by: tuple[str, ...] = ()) -> None:
+    writer = conform(df, table).write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def replace_run(df: DataFrame, path: str, table: Table, run_date: date) -> None:
@@ -89,7 +92,7 @@ def replace_run(df: DataFrame, path: str, table: Table, run_date: date) -> None:
     ``df`` holds rows of that date only, or none: then the date's old rows go. The old files are
     readable until the job commits, so ``df`` may be built from them. Rows are ordered by date
     and region inside each file, which keeps the column statistics narrow. One writer at a time;
-    after a driver crash, run the load again.
+    after a driver crash, run the load again. ``sources.catalog`` replaces a date in one step.
     """
     seen = Observation()
     other = F.raise_error(F.lit(f"Row of another run date than {run_date}")).cast("date")
@@ -110,6 +113,16 @@ def replace_run(df: DataFrame, path: str, table: Table, run_date: date) -> None:
         empty.write.mode("overwrite").parquet(f"{path}/pipeline_run_date={run_date}")
 
 
+# Times in exported files keep their microseconds.
+TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV directory with a header, a file per task; a run log has a single task's rows."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, escape='"', **TIMES).csv(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """An exported run log with its types; a value that does not fit fails the read."""
+    options = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+    return spark.read.options(**options, **TIMES).schema(ddl(RUN_LOG)).csv(path)
