@@ -16,6 +16,7 @@ from tidewater.operators.enrich import enrich_warehouse
 from tidewater.operators.rules import RULES, RuleSet
 from tidewater.operators.upsert import MERGE_KEY
 from tidewater.plans import derived as d
+from tidewater.plans import roundtrips
 from tidewater.schemas import (
     PRIMARY_KEYS,
     REFERENCES,
@@ -82,17 +83,21 @@ def qc_text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check(feed, RULES["warehouse"], require=False)
 
 
+def _checked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checked text feed with its numbers, kept as the daily run keeps it before it splits it."""
+    feed = markers_to_null(d.warehouse_text_feed(spark, sf_dir))
+    return settled(quality.check(feed, RULES["warehouse"], feed=WAREHOUSE_FEED))
+
+
 def text_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text dates and numbers through check, cast and enrichment."""
-    feed = markers_to_null(d.warehouse_text_feed(spark, sf_dir))
-    accepted = quality.passed(quality.check(feed, RULES["warehouse"]))
+    accepted = quality.passed(_checked_text(spark, sf_dir))
     return _plain(enrich_warehouse(typed(accepted, WAREHOUSE_FEED)))
 
 
 def text_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted values per column that hold more than their type keeps."""
-    feed = markers_to_null(d.warehouse_text_feed(spark, sf_dir))
-    accepted = quality.passed(quality.check(feed, RULES["warehouse"]))
+    accepted = quality.passed(_checked_text(spark, sf_dir))
     flags = lossy_values(accepted, WAREHOUSE_FEED)
     counts = accepted.agg(*[F.count_if(flag).alias(c) for c, flag in flags.items()])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("records")) for c in flags])
@@ -351,4 +356,15 @@ QUERIES: dict[str, Query] = {
     "regional_performance": regional_performance,
     "quality_scorecard": lambda s, p: _plain(measures.quality_scorecard(d.audit_log(s, p)), 6),
     "region_filter": region_filter,
+    # Through files and tables
+    "csv_round_trip": roundtrips.csv_round_trip,
+    "landing_days": roundtrips.landing_days,
+    "staged_by_source": lambda s, p: _plain(roundtrips.staged_by_source(s, p)),
+    "run_log_file": roundtrips.run_log_file,
+    "audit_appends": roundtrips.audit_appends,
+    "api_feed": roundtrips.api_feed,
+    "api_missing_pages": roundtrips.api_missing_pages,
+    "load_stamps": roundtrips.load_stamps,
+    "day_fact": lambda s, p: _plain(roundtrips.day_fact(s, p)),
+    "day_log": lambda s, p: _plain(roundtrips.day_log(s, p)),
 }

@@ -154,6 +154,11 @@ def warehouse_text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _supplied_lines(spark, sf_dir).selectExpr(*WAREHOUSE_TEXT_COLUMNS)
 
 
+def keyed_lines(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> DataFrame:
+    """A feed's columns with the numbers of the order line that each row comes from."""
+    return _supplied_lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber", "l_partkey", *columns)
+
+
 def finance_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One finance row per order."""
     orders = table(spark, sf_dir, "orders")

@@ -275,6 +275,67 @@ FROM (SELECT *, order_id IS NULL AS f1, region IS NULL AS f3,
     ),
 }
 
+
+def _renamed(view: str, body: str = "", **names: str) -> str:
+    """A view's body over other views."""
+    body = body or VIEWS[view][1]
+    for old, new in names.items():
+        body = body.replace(f"FROM {old}", f"FROM {new}")
+    return body
+
+
+# The feeds with the numbers of the order lines that their rows come from.
+VIEWS["wh_keyed"] = ((), VIEWS["wh_raw"][1].replace("SELECT ", "SELECT l_orderkey, l_partkey, ", 1))
+VIEWS["wh_keyed_flags"] = (("wh_keyed",), _renamed("wh_flags", wh_raw="wh_keyed"))
+VIEWS["txt_keyed"] = ((), VIEWS["wh_text"][1].replace("SELECT ", "SELECT l_orderkey, ", 1))
+VIEWS["txt_keyed_chk"] = (("txt_keyed",), _renamed("wh_text_chk", wh_text="txt_keyed"))
+VIEWS["txt_uneven"] = (
+    ("txt_keyed_chk",),
+    """
+SELECT *, l_orderkey % 71 = 0 AS short, l_orderkey % 71 = 0 OR l_orderkey % 73 = 0 AS uneven,
+       concat_ws(',', coalesce(order_id, 'None'), order_date, coalesce(region, ''), shift, coalesce(throughput_uph, 'n/a'), dock_delay_hrs,
+         defect_rate_pct, coalesce(inventory_accuracy_pct, 'NA'), coalesce(sla_hours, 'n/a'), coalesce(units_processed, '<NA>')) AS line
+FROM txt_keyed_chk""",
+)
+# API records: those of whole pages that are not empty, and the pages that were cut off.
+VIEWS["api_rows"] = (
+    ("wh_keyed_flags",),
+    """
+SELECT l_partkey % 113 = 0 AS broken, * EXCLUDE (l_partkey) FROM wh_keyed_flags WHERE l_orderkey % 211 <> 0 AND l_orderkey % 223 <> 0
+UNION ALL
+SELECT DISTINCT ON (l_orderkey) TRUE, * EXCLUDE (l_partkey) FROM wh_keyed_flags WHERE l_orderkey % 211 = 0""",
+)
+VIEWS["api_chk"] = (
+    ("api_rows",),
+    """
+SELECT l_orderkey, CASE WHEN NOT broken THEN order_id END AS order_id, CASE WHEN NOT broken THEN CAST(order_date AS VARCHAR) END AS order_date,
+       CASE WHEN NOT broken THEN region END AS region, CASE WHEN NOT broken THEN shift END AS shift,
+       CASE WHEN NOT broken THEN CAST(throughput_uph AS VARCHAR) END AS throughput_uph,
+       CASE WHEN NOT broken THEN CAST(dock_delay_hrs AS VARCHAR) END AS dock_delay_hrs,
+       CASE WHEN NOT broken THEN CAST(defect_rate_pct AS VARCHAR) END AS defect_rate_pct,
+       CASE WHEN NOT broken THEN CAST(inventory_accuracy_pct AS VARCHAR) END AS inventory_accuracy_pct,
+       CASE WHEN NOT broken THEN CAST(sla_hours AS VARCHAR) END AS sla_hours,
+       CASE WHEN NOT broken THEN CAST(units_processed AS VARCHAR) END AS units_processed,
+       CASE WHEN NOT broken THEN CAST(cost_per_unit AS VARCHAR) END AS cost_per_unit,
+       (broken OR f1 OR f2 OR f3 OR f4 OR f5 OR f6 OR f7 OR f8) AS rejected,
+       CASE WHEN broken THEN 'unreadable_record null:order_id null:order_date null:region non_positive:throughput_uph non_positive:units_processed'
+       ELSE concat_ws(' ', CASE WHEN f1 THEN 'null:order_id' END, CASE WHEN f2 THEN 'null:order_date' END, CASE WHEN f3 THEN 'null:region' END,
+         CASE WHEN f4 THEN 'non_positive:throughput_uph' END, CASE WHEN f5 THEN 'non_positive:units_processed' END,
+         CASE WHEN f6 THEN 'out_of_range:defect_rate_pct' END, CASE WHEN f7 THEN 'out_of_range:inventory_accuracy_pct' END,
+         CASE WHEN f8 THEN 'out_of_range:dock_delay_hrs' END) END AS rejection_reason
+FROM api_rows""",
+)
+# A day's order lines: odd orders by file, even ones through the API.
+VIEWS["day_raw"] = (
+    ("wh_keyed",),
+    """
+SELECT * EXCLUDE (l_orderkey, l_partkey) FROM wh_keyed
+WHERE l_orderkey % 2 = 1 OR (l_orderkey % 211 <> 0 AND l_orderkey % 223 <> 0 AND l_partkey % 113 <> 0)""",
+)
+for _view, _source in (("flags", "raw"), ("chk", "flags"), ("ok", "chk"), ("rich", "ok")):
+    VIEWS[f"day_{_view}"] = ((f"day_{_source}",), _renamed(f"wh_{_view}", **{f"wh_{_source}": f"day_{_source}"}))
+VIEWS["day_stg"] = (("day_rich",), _renamed("stg", wh_rich="day_rich"))
+
 RAW = "order_id, order_date, region, shift, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct, sla_hours, units_processed, cost_per_unit"
 FIN = "record_id, month, business_unit, cost_center, amount, record_type"
 FACT = "date_key, region_key, shift_key, source_key, throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct, sla_hours, sla_met, units_processed, cost_per_unit, total_cost, pipeline_run_date, record_source"
@@ -604,6 +665,84 @@ GROUP BY region, shift""",
     ),
 }
 
+FINALS |= {
+    "csv_round_trip": (
+        ("txt_uneven",),
+        f"""SELECT {RAW.removesuffix(", cost_per_unit")}, CASE WHEN NOT short THEN cost_per_unit END AS cost_per_unit,
+       CASE WHEN short THEN line WHEN uneven THEN concat(line, ',', cost_per_unit, ',extra') END AS unreadable_record,
+       (uneven OR rejected) AS rejected,
+       concat_ws(' ', CASE WHEN uneven THEN 'unreadable_record' END, nullif(rejection_reason, '')) AS rejection_reason
+FROM txt_uneven""",
+    ),
+    "landing_days": (
+        ("txt_keyed_chk",),
+        """SELECT CAST(DATE '2024-07-01' + CAST(l_orderkey % 3 AS INT) AS DATE) AS landing_date, rejected, count(*) AS records
+FROM txt_keyed_chk WHERE l_orderkey % 3 > 0 GROUP BY ALL""",
+    ),
+    "staged_by_source": (("stg",), "SELECT * FROM stg WHERE record_source = 'api'"),
+    "run_log_file": (
+        ("audit",),
+        """SELECT run_date, run_timestamp, pipeline_step AS step, status, records_in, records_out, records_rejected, duration_sec,
+  CAST(NULL AS VARCHAR) AS error FROM audit WHERE run_date = DATE '2024-06-30'""",
+    ),
+    "audit_appends": (
+        ("audit",),
+        """SELECT run_date, CAST(3 AS BIGINT) AS entries, CAST(3 AS BIGINT) AS distinct_ids, 3 * count(*) AS records_in,
+  CAST(3 AS BIGINT) AS ids_of_the_day FROM audit GROUP BY run_date""",
+    ),
+    "api_feed": (("api_chk",), f"SELECT {RAW}, rejected, rejection_reason FROM api_chk"),
+    "api_missing_pages": (
+        ("wh_keyed",),
+        """SELECT request_id, page FROM
+  (SELECT DISTINCT concat('REQ-', CAST(l_orderkey // 8 AS VARCHAR)) AS request_id FROM wh_keyed WHERE l_orderkey % 211 <> 0),
+  (SELECT CAST(unnest(range(1, 9)) AS INT) AS page)
+EXCEPT
+SELECT concat('REQ-', CAST(l_orderkey // 8 AS VARCHAR)), CAST(l_orderkey % 8 + 1 AS INT) FROM wh_keyed WHERE l_orderkey % 211 <> 0""",
+    ),
+    "load_stamps": (
+        ("src_ops", "tgt_ops"),
+        """SELECT pipeline_run_date, load_timestamp, count(*) AS records, CAST(sum(units_processed) AS BIGINT) AS units
+FROM (SELECT pipeline_run_date, units_processed,
+             CASE WHEN date_key % 2 = 0 THEN TIMESTAMP '2024-07-01 05:30:00' ELSE TIMESTAMP '2024-07-02 05:30:00' END AS load_timestamp
+      FROM src_ops
+      UNION ALL
+      SELECT pipeline_run_date, units_processed, TIMESTAMP '2024-06-30 05:30:00' FROM tgt_ops WHERE pipeline_run_date = DATE '2024-06-30')
+GROUP BY ALL""",
+    ),
+    "day_fact": (
+        ("day_stg",),
+        """SELECT order_date AS full_date, region AS region_name, shift AS shift_name,
+       CASE WHEN CAST(split_part(order_id, '-', 2) AS BIGINT) % 2 = 1 THEN 'warehouse_csv' ELSE 'api' END AS source_name,
+       throughput_uph, dock_delay_hrs, defect_rate_pct, inventory_accuracy_pct, sla_hours, sla_met, units_processed, cost_per_unit,
+       total_cost, TIMESTAMP '2024-07-01 05:30:00' AS load_timestamp, DATE '2024-07-01' AS pipeline_run_date FROM day_stg""",
+    ),
+    "day_log": (
+        ("wh_keyed_flags", "api_chk", "fin_chk", "day_ok"),
+        """SELECT DATE '2024-07-01' AS run_date, TIMESTAMP '2024-07-01 05:30:00' AS run_timestamp, pipeline_step, source_system,
+       'SUCCESS' AS status, records_in, records_out, records_rejected,
+       round(CAST(records_rejected AS DOUBLE) / records_in * 100, 2) AS rejection_rate_pct, CAST(NULL AS VARCHAR) AS error_message
+FROM (SELECT 'Quality Check: Warehouse' AS pipeline_step, 'warehouse_csv' AS source_system, count(*) AS records_in,
+             count(*) FILTER (NOT bad) AS records_out, count(*) FILTER (bad) AS records_rejected
+      FROM (SELECT f1 OR f2 OR f3 OR f4 OR f5 OR f6 OR f7 OR f8 AS bad FROM wh_keyed_flags WHERE l_orderkey % 2 = 1)
+      UNION ALL
+      SELECT 'Quality Check: Finance', 'finance_json', count(*), count(*) FILTER (NOT rejected), count(*) FILTER (rejected) FROM fin_chk
+      UNION ALL
+      SELECT 'Quality Check: API', 'api', count(*), count(*) FILTER (NOT rejected), count(*) FILTER (rejected)
+      FROM api_chk WHERE l_orderkey % 2 = 0)
+UNION ALL
+SELECT DATE '2024-07-01', TIMESTAMP '2024-07-01 05:30:00', step, source, 'SUCCESS', 0, 0, 0, 0, NULL
+FROM (SELECT 'Transform: Warehouse CSV' AS step, 'warehouse_csv' AS source UNION ALL SELECT 'Transform: Finance JSON', 'finance_json'
+      UNION ALL SELECT 'Transform: API JSON', 'api')
+UNION ALL
+SELECT DATE '2024-07-01', TIMESTAMP '2024-07-01 05:30:00', 'usp_load_fact_operations', 'warehouse_csv', 'SUCCESS', NULL, count(*), NULL, NULL, NULL
+FROM day_ok
+UNION ALL
+SELECT DATE '2024-07-01', TIMESTAMP '2024-07-01 05:30:00', 'Load: Finance', 'finance_json', 'SUCCESS', NULL,
+       count(DISTINCT (month, business_unit, cost_center)), NULL, NULL, NULL
+FROM fin_chk WHERE NOT rejected""",
+    ),
+}
+
 
 def _needed(views: tuple[str, ...]) -> set[str]:
     found = set(views)
