@@ -19,4 +19,24 @@ SELECT doc_id, count(*) AS n_lines,
                        FILTER (WHERE first_doc IS NULL OR first_doc >= doc_id), '')) AS kept_sha256
 FROM keyed LEFT JOIN shared USING (key)
 GROUP BY doc_id""",
+    "op11_minhash_near_dedup": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                 ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS shingle
+  FROM docs),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * common >= 85 * (a.n + b.n - common)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reached AS (SELECT doc_id AS u, doc_id AS v FROM docs UNION SELECT r.u, e.v FROM reached r JOIN edges e ON r.v = e.u),
+roots AS (SELECT u AS doc_id, min(v) AS component_id FROM reached GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM roots LEFT JOIN sizes USING (doc_id)""",
 }
