@@ -78,7 +78,7 @@ def test_rule_on_absent_column_is_skipped(spark):
 
 def test_unknown_source_accepts_all(spark):
     df = spark.createDataFrame([(None, -5)], "order_id string, units_processed int")
-    out = quality.check(df, rules_for("api"))
+    out = quality.check(df, rules_for("upload"))
     assert quality.passed(out).count() == 1
     assert quality.rejected(out).count() == 0
 
