@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from tidewater.llm import (
     simhash,
 )
 from tidewater.llm.queries import model_path
-from tidewater.sources.checkpoint import shared_folder
+from tidewater.sources.checkpoint import delete_folder, new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -70,11 +69,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; each result is written before it is read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    """The stages in order over ``documents``; each result is written before it is read again.
+
+    A stage's files go when the next stage is written. Those of the last written stage stay, since
+    the result reads them.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    folder = new_folder(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -98,6 +98,13 @@ def test_one_document_of_each_group_stays(odd, spark):
     assert simhash.keep_first(twins).count() == 2
 
 
+def test_columns_without_an_order(odd):
+    wide = odd.withColumn("m", F.create_map(F.lit("a"), F.col("n_chars"))).withColumn("b", F.array(F.lit(b"x")))
+    again = wide.unionByName(wide)
+    kept = simhash.keep_first(again)
+    assert kept.columns == again.columns and kept.count() == simhash.keep_first(odd).count()
+
+
 def test_clashing_columns(odd):
     clashing = odd.withColumns({c: F.lit("x") for c in ("fp", "doc", "root", "least", "component_id", "_doc", "version")})
     assert simhash.near_duplicates(clashing).count() == odd.count()

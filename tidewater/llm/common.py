@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import string
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,3 +71,34 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     if conf.get(key) == "67108864b":
         conf.set(key, "8m")
     return df
+
+
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work``, which turns a task's batches into results, giving its memory back when it ends.
+
+    A Python worker waits for further tasks, and what it keeps counts against its executor, also
+    while stages run that need no Python.
+    """
+
+    @functools.wraps(work)
+    def done(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _release()
+
+    return done
+
+
+def _release() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass

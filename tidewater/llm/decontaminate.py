@@ -26,6 +26,7 @@ from tidewater.llm.common import (
     raw_text,
     record,
     text_of,
+    trimmed,
 )
 from tidewater.sources.checkpoint import settled
 
@@ -134,6 +135,7 @@ def _scan(raw: bytes, automaton: ahocorasick.Automaton) -> tuple[int, list[dict]
 
 def _scanner(patterns: Broadcast):
     @F.arrow_udf(_SCAN)
+    @trimmed
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(patterns.value)
         for batch in batches:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import BLANKS, free_names, in_small_batches, put_aside, raw_text, record
+from tidewater.llm.common import BLANKS, free_names, in_small_batches, put_aside, raw_text, record, trimmed
 from tidewater.sources.checkpoint import settled
 
 # The symbols that the rules count.
@@ -80,6 +80,7 @@ def _counts(raw: bytes) -> tuple[int, ...]:
 
 
 @F.arrow_udf(_COUNTED)
+@trimmed
 def _text_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         rows = np.array([_counts(raw.as_py()) for raw in batch], np.int64).reshape(-1, len(_COUNTED))

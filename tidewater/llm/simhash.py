@@ -29,6 +29,7 @@ from tidewater.llm.common import (
     raw_text,
     record,
     text_of,
+    trimmed,
 )
 from tidewater.llm.components import connected_components
 from tidewater.sources.checkpoint import settled
@@ -67,6 +68,7 @@ def fingerprint_of(text_col: str = "text", width: int = SHINGLE_WORDS) -> Column
     """The text's fingerprint as a bigint (its 64 bits), 0 for a text without words or null."""
 
     @F.arrow_udf(T.LongType())
+    @trimmed
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = (_fingerprint(raw.as_py(), width) for raw in batch)
@@ -294,13 +296,16 @@ def keep_first(
     """One row of ``docs`` per component: one with the least id, unchanged.
 
     Where rows with that id have several texts, the one with the least text hash stays; of rows
-    with one id and text, one stays.
+    with one id and text, the one whose other columns come first when written as JSON.
     """
     found = _grouped(docs, width, bits, id_col, text_col).filter(F.col("doc") == F.col("least"))
     firsts = found.groupBy("root", "doc").agg(F.min("version").alias("version"))
     doc, version, place = free_names(docs, "_doc", "_version", "_place")
     kept = settled(firsts.select(F.col("doc").alias(doc), F.col("version").alias(version)))
-    same = W.partitionBy(doc, version).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    # Written out, since columns such as maps have no order of their own.
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    order = F.to_json(F.struct(*others)) if others else F.lit(0)
+    same = W.partitionBy(doc, version).orderBy(order)
     return (
         docs.withColumns({doc: id_of(id_col), version: F.xxhash64(text_of(text_col))})
         .join(kept, [doc, version], "left_semi")
