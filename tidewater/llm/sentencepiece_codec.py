@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import free_names, in_small_batches, record, text_of
+from tidewater.llm.common import free_names, in_small_batches, record, text_of, trimmed
 
 SIGN = "▁"  # stands for a space inside pieces and normalised texts
 SPACE = " "  # stands for that sign here: most texts then take a byte a character
-CACHED_PARTS = 250_000  # parts whose ids a task remembers
+CACHED_PARTS = 250_000  # parts whose ids a worker remembers
 TEXTS = 768  # texts that are encoded together at most
 BLOCK_BYTES = 4_000_000
 SHORT = 32  # characters of a part that is merged in a matrix
@@ -305,15 +305,30 @@ def _blocks(batch: pa.Array) -> Iterator[pa.Array]:
         yield batch[start:]
 
 
+def _loaded(model_path: str) -> tuple:
+    """The model of a file and its merger, kept by the worker process for its further tasks.
+
+    The store hangs on the library's own module, since functions of this package are new objects
+    in every task.
+    """
+    import sentencepiece
+
+    store = vars(sentencepiece).setdefault("_loaded_mergers", {})
+    if model_path not in store:
+        store.clear()
+        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        store[model_path] = model, Merger(model)
+    return store[model_path]
+
+
 def coded(model_path: str, text: Column, decode: bool = True) -> Column:
     """Struct (ids, decoded, agrees) of a text column; ``model_path`` is a file on every worker."""
 
     @F.arrow_udf(_CODED)
+    @trimmed
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        merger, end = Merger(model), np.array([model.eos_id()], np.int32)
+        model, merger = _loaded(model_path)
+        end = np.array([model.eos_id()], np.int32)
         # Results leave block by block, so a worker holds those of one block only.
         for given in (block.to_pylist() for batch in batches for block in _blocks(batch)):
             sizes, ids, texts, agrees = [0], [np.zeros(0, np.int32)], [], []
