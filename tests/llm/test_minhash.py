@@ -72,9 +72,10 @@ def near_copies(seed, groups=12, copies=25):
     return rows
 
 
-@pytest.mark.parametrize("bin_rows, pairs", [(50_000, 1 << 18), (200, 64)])
-def test_near_copies(spark, monkeypatch, bin_rows, pairs):
+@pytest.mark.parametrize("bin_rows, shingles, pairs", [(50_000, 2_000_000, 1 << 18), (200, 700, 64)])
+def test_near_copies(spark, monkeypatch, bin_rows, shingles, pairs):
     monkeypatch.setattr(minhash, "BIN_ROWS", bin_rows)
+    monkeypatch.setattr(minhash, "BIN_SHINGLES", shingles)
     monkeypatch.setattr(minhash, "PAIRS", pairs)
     rows = near_copies(3)
     wanted = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
@@ -118,7 +119,7 @@ def test_each_pair_is_given_once():
     order = order[np.argsort(group["key"], kind="stable")]
     node = node[order]
     group = {"key": keys.ravel().view(np.int64)[order], "comp": node, "n": np.full(len(node), 9), "sign": sign[node]}
-    found = [tuple(sorted(p)) for i, j in minhash.near_pairs(group, 85) for p in zip(node[i].tolist(), node[j].tolist())]
+    found = [tuple(sorted(p)) for i, j, _ in minhash.near_pairs(group, 85) for p in zip(node[i].tolist(), node[j].tolist())]
     wanted = {(a, b) for a in range(60) for b in range(a) if (sign[a] != sign[b]).sum() <= minhash.MAX_DISTANCE}
     assert len(found) == len(set(found)) and set(found) == {(b, a) for a, b in wanted}
 

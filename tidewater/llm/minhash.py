@@ -33,7 +33,8 @@ MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 # The symbols of a chunk that stay in each of its keys.
 MASKS = [[i for i in range(CHUNK) if i not in out] for out in itertools.combinations(range(CHUNK), ERRORS)]
 KEYS = CHUNKS * len(MASKS)
-BIN_ROWS = 50_000  # rows of key groups that one task compares
+BIN_ROWS = 50_000  # rows of key groups whose signatures one task compares
+BIN_SHINGLES = 2_000_000  # shingles of the sets that one task compares
 PAIRS = 1 << 18  # pairs that a task compares at once
 SPAN = 4096  # shingles that are permuted at once
 
@@ -145,11 +146,11 @@ def _long_enough(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def near_pairs(group: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(group: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of rows that share a key, lie within the distance and belong to different components.
 
-    ``group`` has key, comp, n and sign, in the order of key. A pair is given under the first key
-    that it shares and no other.
+    ``group`` has key, comp, n and sign, in the order of key. A pair is given, with its distance,
+    under the first key that it shares and no other.
     """
     key, comp, n, sign = (group[x] for x in ("key", "comp", "n", "sign"))
     if not len(key):
@@ -173,8 +174,9 @@ def near_pairs(group: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.
         i, j = i[left], j[left]
         agree = sign[i] == sign[j]
         number = (key[i].view(np.uint64) & np.uint64((1 << (KEYS - 1).bit_length()) - 1)).astype(np.int64)
-        left = (agree.sum(axis=1) >= SYMBOLS - MAX_DISTANCE) & (first_shared_key(agree) == number)
-        yield i[left], j[left]
+        apart = SYMBOLS - agree.sum(axis=1)
+        left = (apart <= MAX_DISTANCE) & (first_shared_key(agree) == number)
+        yield i[left], j[left], apart[left]
         at = to
 
 
@@ -200,6 +202,119 @@ def _common(found: pa.Array, others: pa.Array) -> pa.Array:
     return pa.array(sizes, pa.int64())
 
 
+def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple]:
+    """(table, columns, i, j, distance): the near pairs of a task, as rows of its table."""
+    group = pa.Table.from_batches(batches)
+    group = group.take(np.argsort(np.asarray(group["key"]), kind="stable"))
+    col = {c: np.asarray(group[c]) for c in ("key", "node", "comp", "n", "block")}
+    col["sign"] = _symbols(group["sig"].combine_chunks())
+    one, two, k = (group[c][0].as_py() for c in ("one", "two", "k"))
+    for i, j, apart in near_pairs(col, percent):
+        if k > 1:
+            # Pairs within block b belong to the task of b and b + 1, in the last one both.
+            b, c = col["block"][i], col["block"][j]
+            own = (b != c) | ((two == one + 1) & ((b == one) | (two == k - 1)))
+            i, j, apart = i[own], j[own], apart[own]
+        yield group, col, i, j, apart
+
+
+def _near_nodes(percent: int):
+    """A task function: the classes that are near one of another component."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, col, i, j, _ in _compared(batches, percent):
+            yield pa.RecordBatch.from_pydict({"node": np.unique(col["node"][np.concatenate((i, j))])})
+
+    return search
+
+
+def _similar(i: np.ndarray, j: np.ndarray, set_of, percent: int) -> np.ndarray:
+    """Whether the whole sets of each pair of rows are similar; ``i`` never falls."""
+    found = np.zeros(len(i), bool)
+    edges = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1], [True]))) if len(i) else [0]
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = set_of(int(i[a]))
+        for x in range(a, b, 256):
+            others = [set_of(int(r)) for r in j[x : min(x + 256, b)]]
+            sizes = np.array([len(o) for o in others])
+            every = np.concatenate(others)
+            places = np.minimum(np.searchsorted(own, every), len(own) - 1)
+            both = np.add.reduceat(own[places] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+            found[x : x + len(others)] = 100 * both >= percent * (len(own) + sizes - both)
+    return found
+
+
+def _links(percent: int):
+    """A task function: edges that join what whole sets link, no more than the components joined.
+
+    The nearest pairs are compared first. Pairs that edges of the task have joined meanwhile, and
+    components that earlier rounds have, are not compared.
+    """
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        for group, col, i, j, apart in _compared(batches, percent):
+            nodes, comp, held = col["node"], col["comp"], group["held"]
+
+            def set_of(row: int) -> np.ndarray:
+                node = int(nodes[row])
+                if node not in sets:
+                    sets[node] = np.frombuffer(held[row].as_py(), np.uint64)
+                return sets[node]
+
+            for least, most in ((0, 4), (5, 8), (9, SYMBOLS)):
+                band = (apart >= least) & (apart <= most)
+                x, y = i[band], j[band]
+                apart_still = [find(a) != find(b) for a, b in zip(comp[x].tolist(), comp[y].tolist())]
+                x, y = x[np.array(apart_still, bool)], y[np.array(apart_still, bool)]
+                linked = _similar(x, y, set_of, percent)
+                edges = []
+                for a, b in zip(x[linked].tolist(), y[linked].tolist()):
+                    p, q = find(int(comp[a])), find(int(comp[b]))
+                    if p != q:
+                        root[p] = q
+                        edges.append((int(nodes[a]), int(nodes[b])))
+                ends = np.array(edges, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_pydict({"u": ends[:, 0].copy(), "v": ends[:, 1].copy()})
+
+    return search
+
+
+_DEALT = ["bin", "large", "one", "two"]
+
+
+def _dealt(rows: DataFrame, weight: str, most: int) -> DataFrame:
+    """``rows`` (key, node, ...) dealt to tasks of a bounded weight, groups of a key together.
+
+    Small groups share a task. A group beyond the bound is dealt into blocks, and each task gets two
+    of them.
+    """
+    totals = settled(rows.groupBy("key").agg(F.sum(weight).cast("bigint").alias("total")))
+    whole = totals.agg(F.coalesce(F.sum("total"), F.lit(0).cast("bigint"))).first()[0]
+    bins = max(1, -(-whole // most))
+    blocks = F.ceil(2 * F.col("total") / most).cast("int")
+    split = rows.join(totals, "key").withColumn("k", F.when(blocks > 2, blocks).otherwise(1)).drop("total")
+    dealt = split.withColumns(
+        {
+            "bin": F.when(F.col("k") == 1, F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(F.col("key")),
+            "block": F.pmod(F.xxhash64("node"), F.col("k")).cast("int"),
+            "with": F.explode(F.sequence(F.lit(0), F.col("k") - 1)),
+        }
+    )
+    # Pairs within a block are found by its task with the next one.
+    return dealt.filter((F.col("k") == 1) | (F.col("block") != F.col("with"))).withColumns(
+        {"large": F.col("k") > 1, "one": F.least("block", "with"), "two": F.greatest("block", "with")}
+    )
+
+
 class _Join:
     """The classes of equal sets of some documents, and how their links are found and confirmed."""
 
@@ -243,36 +358,13 @@ class _Join:
         )
         return counted.filter(100 * F.col("both") >= self.percent * (F.col("all") - F.col("both"))).select("u", "v")
 
-    def prefixes(self, held: DataFrame) -> DataFrame:
-        """(node, prefix): the rarest shingles of each set, so many that similar sets share one.
-
-        Of n shingles all but the least intersection, and one more, are a prefix under any order
-        of shingles; the rarest first tells most pairs apart that are not similar.
-        """
-
-        def unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for node, raw in zip(batch["node"].to_pylist(), batch["held"]):
-                    shingles = np.frombuffer(raw.as_py(), np.int64)
-                    nodes = np.full(len(shingles), node)
-                    yield pa.RecordBatch.from_pydict({"node": nodes, "shingle": shingles})
-
-        every = settled(held.mapInArrow(unfolded, record(node=_LONG, shingle=_LONG)))
-        counted = settled(every.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")))
-        ordered = F.array_sort(F.collect_list(F.struct("holders", "shingle")))
-        sorted_sets = every.join(counted, "shingle").groupBy("node").agg(ordered.alias("all"))
-        n = F.size("all")
-        length = n - F.ceil(n * self.percent / 100).cast("int") + 1
-        return settled(sorted_sets.select("node", F.slice("all", F.lit(1), length)["shingle"].alias("prefix")))
-
     def links(self) -> DataFrame:
         """Confirmed edges (u, v) with the components of all links between classes.
 
         First every class meets the nearest of its key groups' least classes, which joins what
         copies of one text have in common. Then groups that still hold several components are
-        searched in full, but for pairs that are joined already and for those whose rarest
-        shingles rule a link out. A group is dealt into blocks where it is large, so that a task
-        holds a bounded number of rows.
+        searched in full, but for pairs that are joined already: by signatures for the classes
+        that are near any other, then by the whole sets of those, which meet in the task.
         """
         percent = self.percent
         keys = settled(self.classes.select("node", "sig").mapInArrow(_keyed, record(key=_LONG, node=_LONG)))
@@ -300,61 +392,18 @@ class _Join:
             "key", "node", F.coalesce("root", "node").alias("comp")
         )
         placed = settled(placed)
-        mixed = placed.groupBy("key").agg(
-            F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("rows")
-        )
-        mixed = settled(mixed.filter("least < most").select("key", "rows"))
-        rows = mixed.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint"))).first()[0]
-        bins = max(1, -(-rows // BIN_ROWS))
-        blocks = F.ceil(2 * F.col("rows") / BIN_ROWS).cast("int")
-        left = placed.join(mixed, "key").withColumn("k", F.when(blocks > 2, blocks).otherwise(1))
-        dealt = left.select(
-            "key",
-            "node",
-            "comp",
-            F.when(F.col("k") == 1, F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(F.col("key")).alias("bin"),
-            "k",
-            F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("block"),
-            F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("with"),
-        )
-        # Two blocks make a task. Pairs within a block are found by its task with the next one.
-        tasks = dealt.filter((F.col("k") == 1) | (F.col("block") != F.col("with"))).select(
-            "bin",
-            (F.col("k") > 1).alias("large"),
-            F.least("block", "with").alias("one"),
-            F.greatest("block", "with").alias("two"),
-            "k",
-            "key",
-            "node",
-            "comp",
-            "block",
-        )
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            group = pa.Table.from_batches(batches)
-            order = np.argsort(np.asarray(group["key"]), kind="stable")
-            col = {c: np.asarray(group[c])[order] for c in ("key", "node", "comp", "n", "block")}
-            col["sign"] = _symbols(group["sig"].combine_chunks())[order]
-            one, two, k = (group[c][0].as_py() for c in ("one", "two", "k"))
-            rare = [frozenset(x) for x in group["prefix"].take(order).to_pylist()]
-            for i, j in near_pairs(col, percent):
-                met = [not rare[a].isdisjoint(rare[b]) for a, b in zip(i.tolist(), j.tolist())]
-                i, j = i[met], j[met]
-                if k > 1:
-                    # Pairs within block b belong to the task of b and b + 1, in the last one both.
-                    b, c = col["block"][i], col["block"][j]
-                    own = (b != c) | ((two == one + 1) & ((b == one) | (two == k - 1)))
-                    i, j = i[own], j[own]
-                yield pa.RecordBatch.from_pydict({"u": col["node"][i], "v": col["node"][j]})
-
-        held = self.sets_of(left.select("node"))
-        pairs = (
-            tasks.join(own, "node")
-            .join(self.prefixes(held), "node")
-            .groupBy("bin", "large", "one", "two")
-            .applyInArrow(search, record(u=_LONG, v=_LONG))
-        )
-        return first.unionByName(self.confirmed(settled(pairs), held))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+        mixed = settled(mixed.filter("least < most").select("key"))
+        left = settled(placed.join(mixed, "key"))
+
+        # Most classes of a mixed group are near none of its others: only the rest's sets are read.
+        tasks = _dealt(left.withColumn("weight", F.lit(1)), "weight", BIN_ROWS).join(own, "node")
+        near = tasks.groupBy(*_DEALT).applyInArrow(_near_nodes(percent), record(node=_LONG)).distinct()
+        held = self.sets_of(settled(near)).join(own, "node")
+        close = left.join(held.select("node", "n"), "node")
+        tasks = _dealt(close, "n", BIN_SHINGLES).drop("n").join(held, "node")
+        second = tasks.groupBy(*_DEALT).applyInArrow(_links(percent), record(u=_LONG, v=_LONG))
+        return first.unionByName(second)
 
 
 def near_duplicates(
