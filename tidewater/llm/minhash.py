@@ -403,7 +403,8 @@ class _Join:
         close = left.join(held.select("node", "n"), "node")
         tasks = _dealt(close, "n", BIN_SHINGLES).drop("n").join(held, "node")
         second = tasks.groupBy(*_DEALT).applyInArrow(_links(percent), record(u=_LONG, v=_LONG))
-        return first.unionByName(second)
+        # Kept, since the components read their edges more than once.
+        return first.unionByName(settled(second))
 
 
 def near_duplicates(
