@@ -57,6 +57,35 @@ def test_wrong_contexts_are_noticed(spark):
     assert few.count() == 0 and all((r.n_examples, r.n_contexts, r.n_written) == (4, 4, 0) for r in read)
 
 
+def test_contexts_of_long_conversations_are_compared_too(spark, tmp_path):
+    long = [(None, t, "assistant" if t % 2 else "user", f"{t} <| é " * 30) for t in range(120)]
+    turns = long + [(7, *r[1:]) for r in long] + [(8, *r[1:]) for r in long[:4]]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    table = chat_format.format_turns(df)
+    examples = chat_format.prefix_examples(table)
+    made = chat_format.written_contexts(examples, table), chat_format.streamed_contexts(examples, table)
+    whole = "".join(formatted(*r[2:]) for r in long)
+    streamed = {(r.conv_id, r.place): r.sha256 for r in made[1].collect()}
+    assert set(streamed) == {(c, t) for c in (None, 7) for t in range(1, 120, 2)}
+    for r in examples.collect():
+        if r.conv_id != 8:
+            assert streamed[r.conv_id, r.place] == plain.sha(whole[: r.context_chars])
+    read = {r.conv_id: r for r in chat_format.read_back(table, examples, *made).collect()}
+    assert {c: (r.n_examples, r.n_contexts, r.n_written) for c, r in read.items()} == {
+        None: (60, 60, 60), 7: (60, 60, 60), 8: (2, 2, 2)
+    }
+    # A lost context of a long conversation is noticed, and one that is no prefix of its turns.
+    lost = F.when((F.col("conv_id") == 7) & (F.col("place") == 51), F.lit("x")).otherwise(F.col("sha256"))
+    read = chat_format.read_back(table, examples, made[0], made[1].withColumn("sha256", lost))
+    assert {r.conv_id: r.n_contexts for r in read.collect()} == {None: 60, 7: 59, 8: 2}
+    early = examples.withColumn("context_chars", F.when(F.col("place") > 1, F.col("context_chars")).otherwise(10**7))
+    assert {r.sha256 for r in chat_format.streamed_contexts(early, table).filter("place = 1").collect()} == {""}
+    # The query's own conversations, long ones among them.
+    df.filter("conv_id = 7").withColumn("text", F.repeat("text", 2)).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: r for r in queries.op9_chat_formatting(spark, str(tmp_path)).collect()}
+    assert (found[7].n_examples, found[7].n_contexts, found[7].n_written) == (60, 60, 60)
+
+
 ROWS = [
     (1, 0, "sys\\n\ntem", "a<|b<\\|c\\"),
     (1, 1, "user", None),

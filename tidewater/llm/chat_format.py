@@ -3,7 +3,8 @@
 Every assistant turn is an example of its own: all turns before it are context, and only its own
 text is trainable. A conversation's formatted text is kept once, turn by turn; an example's
 context is the part of it that ends where its target begins, named by its length. Written out,
-contexts grow with the square of a conversation's length, which ``with_contexts`` does on request.
+contexts grow with the square of a conversation's length, which ``with_contexts`` does on request;
+``streamed_contexts`` gives the digest of each from one pass over the conversation.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,7 +27,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
 # Turns that one task numbers together.
 BLOCK = 1024
-# Contexts of a conversation are written out if they hold so many characters together.
+# Contexts of a conversation are written out if they hold so many characters together; of others
+# they are read in one pass over the turns.
 WRITTEN_CHARS = 1_000_000
 
 
@@ -145,14 +148,65 @@ def with_contexts(examples: DataFrame, formatted: DataFrame) -> DataFrame:
 def written_contexts(examples: DataFrame, formatted: DataFrame, most: int = WRITTEN_CHARS) -> DataFrame:
     """``with_contexts`` of the conversations whose contexts hold at most ``most`` characters together.
 
-    Written out, contexts grow with the square of a conversation's length, so those of longer
-    conversations stay named by their length only.
+    Written out, contexts grow with the square of a conversation's length; ``streamed_contexts``
+    gives those of the longer conversations as digests.
     """
-    totals = examples.groupBy(F.col("conv_id").alias("of")).agg(F.sum("context_chars").alias("chars"))
-    small = totals.filter(F.col("chars") <= most)
+    small = _context_sizes(examples).filter(F.col("chars") <= most)
     return with_contexts(examples.join(small, F.col("conv_id").eqNullSafe(F.col("of")), "left_semi"), formatted)
 
 
+def _context_sizes(examples: DataFrame) -> DataFrame:
+    return examples.groupBy(F.col("conv_id").alias("of")).agg(F.sum("context_chars").alias("chars"))
+
+
+_STREAMED = record(conv_id=T.LongType(), place=T.LongType(), sha256=T.StringType())
+
+
+def _prefix_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Digest of the first ``chars`` characters of a conversation, from its turns in order.
+
+    A prefix ends in the turn that it comes with; one that does not has no digest (empty).
+    """
+    now, digest, before = None, None, 0
+    for batch in batches:
+        done = []
+        rows = zip(*(batch[c] for c in ("conv_id", "missing", "place", "formatted", "chars")))
+        for conv, missing, place, formatted, chars in rows:
+            if (conv, missing) != now:
+                now, digest, before = (conv, missing), hashlib.sha256(), 0
+            if chars >= 0:
+                inside = before <= chars <= before + len(formatted)
+                prefix = digest.copy()
+                prefix.update(formatted[: max(0, chars - before)].encode())
+                done.append((None if missing else conv, place, prefix.hexdigest() if inside else ""))
+            digest.update(formatted.encode())
+            before += len(formatted)
+        yield pd.DataFrame(done, columns=_STREAMED.names).astype({"conv_id": "Int64"})
+
+
+def streamed_contexts(examples: DataFrame, formatted: DataFrame, most: int = WRITTEN_CHARS) -> DataFrame:
+    """(conv_id, place, sha256): digests of the contexts that ``written_contexts`` does not write out.
+
+    A conversation's contexts are prefixes of one text, so one pass over its turns in order gives
+    them all: work and memory grow with the conversation's length, not with its square. Turns are
+    sorted by Spark and read one by one.
+    """
+    long = _context_sizes(examples).filter(F.col("chars") > most)
+    wanted = examples.select(
+        F.col("conv_id").alias("by"), F.col("place").alias("at"), F.col("context_chars").alias("chars")
+    )
+    turns = formatted.join(long.select("of"), F.col("conv_id").eqNullSafe(F.col("of")), "left_semi")
+    told = turns.join(wanted, F.col("conv_id").eqNullSafe(F.col("by")) & (F.col("place") == F.col("at")), "left").select(
+        F.coalesce(F.col("conv_id").cast("bigint"), F.lit(0).cast("bigint")).alias("conv_id"),
+        F.col("conv_id").isNull().alias("missing"),
+        "place",
+        "formatted",
+        F.coalesce("chars", F.lit(-1).cast("bigint")).alias("chars"),
+    )
+    ordered = in_small_batches(told).repartition("conv_id", "missing").sortWithinPartitions("conv_id", "missing", "place")
+    return ordered.mapInPandas(_prefix_digests, _STREAMED)
+
+
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*)" + re.escape(END) + r"\n", re.DOTALL)
 _DIGEST = record(
     conv_id=T.LongType(),
@@ -202,12 +256,17 @@ class _Conversation:
         return None if missing else conv, *digests, n["chars"], n["examples"], n["contexts"], n["written"]
 
 
-def read_back(formatted: DataFrame, examples: DataFrame, written: DataFrame | None = None) -> DataFrame:
+def read_back(
+    formatted: DataFrame,
+    examples: DataFrame,
+    written: DataFrame | None = None,
+    streamed: DataFrame | None = None,
+) -> DataFrame:
     """What the formatted turns and the examples hold, unescaped, as digests per conversation.
 
     ``n_examples`` counts the examples and ``n_contexts`` those whose context is exactly the turns
     before and the head of the reply: its length is theirs, and, of examples that are in ``written``
-    with their context (``n_written``), so is its digest.
+    with their context or in ``streamed`` with its digest (``n_written``), so is its digest.
 
     A digest of a conversation takes its turns in order, so they flow through one task; they are
     sorted there by Spark, which may spill, and read one by one, so memory holds one batch.
@@ -233,11 +292,16 @@ def read_back(formatted: DataFrame, examples: DataFrame, written: DataFrame | No
 
     conv = F.coalesce(F.col("conv_id").cast("bigint"), F.lit(0).cast("bigint")).alias("conv_id")
     missing = F.col("conv_id").isNull().alias("missing")
-    if written is None:
+    if written is None and streamed is None:
         told = examples.withColumn("sha256", F.lit(""))
     else:
         digest = F.sha2(F.col("context").cast("binary"), 256)
-        contexts = written.select(F.col("conv_id").alias("of"), F.col("place").alias("at"), digest.alias("sha256"))
+        held = [] if written is None else [written.select("conv_id", "place", digest.alias("sha256"))]
+        # A streamed context without a digest is no prefix of the turns, which none equals.
+        none = F.when(F.col("sha256") == "", "none").otherwise(F.col("sha256"))
+        held += [] if streamed is None else [streamed.select("conv_id", "place", none.alias("sha256"))]
+        contexts = reduce(DataFrame.unionByName, held)
+        contexts = contexts.select(F.col("conv_id").alias("of"), F.col("place").alias("at"), "sha256")
         same = F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("place") == F.col("at"))
         told = examples.join(contexts, same, "left").withColumn("sha256", F.coalesce("sha256", F.lit("")))
     none = F.lit(0).cast("bigint").alias("chars"), F.lit("").alias("sha256")
