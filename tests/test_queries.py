@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidewater.operators import measures, upsert
-from tidewater.plans import catalog, derived, oracle
+from tidewater.plans import catalog, derived, oracle, roundtrips
 from tidewater.schemas import FACT_OPERATIONS, ddl
 from tidewater.sources.tables import read_table, replace_run
 
@@ -86,3 +86,14 @@ def test_load_reads_one_partition(spark, tmp_path):
     text = plan(upsert.merge(target, target.withColumn("date_key", F.lit(1))))
     assert text.count("FileScan") == text.count("PartitionFilters: [isnotnull(pipeline_run_date")
     assert "FileScan" in text
+
+
+def test_order_lines_move_before_they_are_text(spark, sf_dir, tmp_path):
+    """API records are made after the shuffle, from the given numbers, and saved compressed."""
+    plan = roundtrips.api_responses(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression") :]
+    assert "collect_list" in plan[: plan.index("RepartitionByExpression")]
+    assert "to_json" not in moved and "ORD-" not in moved
+    path = roundtrips._saved_api(spark, sf_dir)
+    names = {f.rsplit("/", 1)[-1] for f in spark.read.text(path).inputFiles()}
+    assert names and all(n.endswith(".gz") for n in names)

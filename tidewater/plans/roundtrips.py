@@ -32,6 +32,7 @@ LANDED = (date(2024, 7, 1), date(2024, 7, 2), date(2024, 7, 3))
 READ_DAYS = LANDED[1:]
 EARLIER, FIRST_LOAD, SECOND_LOAD = (datetime(2024, m, day, 5, 30) for m, day in ((6, 30), (7, 1), (7, 2)))
 LOG_DAY = date(2024, 6, 30)
+API_METRICS = ("throughput_uph", "dock_delay_hrs", "defect_rate_pct", "inventory_accuracy_pct", "units_processed")
 
 
 def _write_lines(df: DataFrame, line: Column, header: str, path: str) -> None:
@@ -125,19 +126,23 @@ def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as saved API responses: a page per order, eight to a request.
 
     Some pages are cut off, some are empty, and some records have another shape than declared.
+    Order lines are grouped before they are written as text, which is several times as long.
     """
-    rows = d.keyed_lines(spark, sf_dir, d.WAREHOUSE_COLUMNS)
-    record = F.expr(
-        """to_json(named_struct('id', order_id, 'date', CAST(order_date AS STRING),
-             'site', named_struct('region', region, 'shift', shift),
-             'metrics', named_struct('throughput_uph', throughput_uph, 'dock_delay_hrs', dock_delay_hrs,
-               'defect_rate_pct', defect_rate_pct, 'inventory_accuracy_pct', inventory_accuracy_pct,
-               'units_processed', units_processed),
-             'sla', named_struct('hours', sla_hours), 'cost', named_struct('per_unit', cost_per_unit)))"""
+    rows = d.lines_by_order(spark, sf_dir, d.WAREHOUSE_COLUMNS)
+    record = lambda r: F.to_json(
+        F.struct(
+            r["order_id"].alias("id"),
+            r["order_date"].cast("string").alias("date"),
+            F.struct(*[r[c].alias(c) for c in ("region", "shift")]).alias("site"),
+            F.struct(*[r[c].alias(c) for c in API_METRICS]).alias("metrics"),
+            F.struct(r["sla_hours"].alias("hours")).alias("sla"),
+            F.struct(r["cost_per_unit"].alias("per_unit")).alias("cost"),
+        )
     )
     other = F.concat(F.lit('{"id":"'), F.col("l_orderkey"), F.lit('","metrics":"down"}'))
-    records = rows.select("l_orderkey", F.when(F.expr("l_partkey % 113 = 0"), other).otherwise(record).alias("record"))
-    pages = records.groupBy("l_orderkey").agg(F.array_join(F.collect_list("record"), ",").alias("records"))
+    text = lambda r: F.when(r["l_partkey"] % 113 == 0, other).otherwise(record(r))
+    orders = rows.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_partkey", *WAREHOUSE_FEED)).alias("lines"))
+    pages = orders.select("l_orderkey", F.array_join(F.transform("lines", text), ",").alias("records"))
     head = F.expr(
         """concat('{"request_id":"REQ-', l_orderkey div 8, '","page":', l_orderkey % 8 + 1, ',"total_pages":8,"data":[')"""
     )
@@ -145,9 +150,14 @@ def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("l_orderkey", F.when(F.expr("l_orderkey % 211 = 0"), head).otherwise(whole).alias("value"))
 
 
+def _save_responses(responses: DataFrame, path: str) -> None:
+    """Compressed, since the records repeat every field's name."""
+    responses.select("value").write.option("compression", "gzip").text(path)
+
+
 def _saved_api(spark: SparkSession, sf_dir: str) -> str:
     path = new_folder(spark, "api")
-    api_responses(spark, sf_dir).select("value").write.text(path)
+    _save_responses(api_responses(spark, sf_dir), path)
     return path
 
 
@@ -188,7 +198,7 @@ def run_day(spark: SparkSession, sf_dir: str) -> str:
     feed = lines.filter("l_orderkey % 2 = 1").select(*WAREHOUSE_FEED)
     feed.write.option("header", True).csv(f"{folder}/warehouse.csv")
     d.finance_feed(spark, sf_dir).write.json(f"{folder}/finance.json")
-    api_responses(spark, sf_dir).filter("l_orderkey % 2 = 0").select("value").write.text(f"{folder}/api.json")
+    _save_responses(api_responses(spark, sf_dir).filter("l_orderkey % 2 = 0"), f"{folder}/api.json")
     paths = daily.DailyPaths(
         f"{folder}/warehouse.csv",
         f"{folder}/finance.json",
