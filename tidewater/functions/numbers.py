@@ -28,7 +28,7 @@ def number(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.StringType):
         value = c.try_cast("double")
         fits = F.abs(value) <= LARGEST_DOUBLE
-        return F.when(c.rlike(PLAIN_NUMBER), F.when(fits, value)).when(c.rlike(INFINITE_WORD), value)
+        return F.when((c.rlike(PLAIN_NUMBER) & fits) | c.rlike(INFINITE_WORD), value)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.nanvl(c, F.lit(None).cast(kind))
     if isinstance(kind, T.BooleanType):
