@@ -148,3 +148,11 @@ def test_clashing_columns(odd):
     assert kept.columns == clashing.columns
     assert {r.kept for r in kept.collect()} <= {"x"}
     assert quality_rules.assess(clashing).filter("n_words = 120000").count() == 1
+
+
+def test_texts_are_counted_once_where_they_are_judged(odd):
+    kept = quality_rules.keep_clean(odd)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    passed = {r.doc_id for r in quality_rules.assess(odd).filter("kept").collect()}
+    assert passed and {r.doc_id for r in kept.collect()} == passed
